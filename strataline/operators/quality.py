@@ -51,8 +51,9 @@ def _top(df: DataFrame, columns: Sequence[str], limit: int) -> DataFrame:
     """The first ``limit`` rows by ``columns`` as one array of texts (top-k, then one small group)."""
     head = df.select(*columns).orderBy(*columns).limit(limit)
     rows = F.sort_array(F.collect_list(F.struct(*columns)))
-    text = (lambda r: r[columns[0]].cast("string")) if len(columns) == 1 else F.to_json
-    return head.agg(F.transform(rows, text).alias("sample"))
+    single = columns[0] if len(columns) == 1 else None
+    texts = F.transform(rows, lambda r: r[single].cast("string") if single else F.to_json(r))
+    return head.agg(texts.alias("sample"))
 
 
 def null_checks(df: DataFrame, rule: NotNull) -> DataFrame:

@@ -21,25 +21,36 @@ def total(c: str) -> Column:
     return F.coalesce(F.sum(c), F.lit(0))
 
 
-def player_performance(fact_appearances: DataFrame, dim_date: DataFrame, dim_players: DataFrame) -> DataFrame:
-    """Player by season: games, goals, assists, minutes, and the player's current attributes.
+def performance(
+    rows: DataFrame, subjects: DataFrame, *, key: str, game: str, measures: dict[str, str], attributes: dict[str, str]
+) -> DataFrame:
+    """Subject by season: distinct games and summed measures, with the subject's attributes.
 
-    The season is that of the appearance's day; rows without a player or a season do not count.
+    Rows without a key or a season do not count. ``subjects`` has one row per key; subjects without
+    one keep null attributes.
     """
-    seasons = lookup(fact_appearances, dim_date, {"date_sk": "date_sk"}, {"season": "season"}, bounded=True)
     measured = (
-        seasons.dropna(subset=["player_id", "season"])
-        .groupBy("player_id", "season")
-        .agg(
-            F.countDistinct("game_id").alias("matches_played"),
-            total("goals").alias("total_goals"),
-            total("assists").alias("total_assists"),
-            total("minutes_played").alias("total_minutes"),
-        )
+        rows.dropna(subset=[key, "season"])
+        .groupBy(key, "season")
+        .agg(F.countDistinct(game).alias("matches_played"), *[total(c).alias(out) for out, c in measures.items()])
     )
+    return lookup(measured, subjects, {key: key}, attributes)
+
+
+def player_performance(fact_appearances: DataFrame, dim_date: DataFrame, dim_players: DataFrame) -> DataFrame:
+    """Player by season: games, goals, assists, minutes, and the player's current attributes.
+
+    The season is that of the appearance's day in the calendar.
+    """
     current = keep_first(dim_players.filter("is_current"), ["player_id"], ["effective_date", "player_sk"])
-    attributes = ("name", "position_category", "current_club_id", "current_club_name")
-    return lookup(measured, current, {"player_id": "player_id"}, {a: a for a in attributes})
+    return performance(
+        lookup(fact_appearances, dim_date, {"date_sk": "date_sk"}, {"season": "season"}, bounded=True),
+        current,
+        key="player_id",
+        game="game_id",
+        measures={"total_goals": "goals", "total_assists": "assists", "total_minutes": "minutes_played"},
+        attributes={a: a for a in ("name", "position_category", "current_club_id", "current_club_name")},
+    )
 
 
 def two_sided(games: DataFrame, sides: list[dict[str, str]]) -> DataFrame:
