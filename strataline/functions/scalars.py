@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 OPEN_END = dt.date(9999, 12, 31)
 
 # Characters that Python's str.strip() removes and that occur in delimited files.
-_WHITESPACE = " \t\n\r\f\v "
+WHITESPACE = " \t\n\r\f\v "
 
 
 def as_col(c: Column | str) -> Column:
@@ -25,7 +25,7 @@ def open_end() -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove surrounding whitespace of every kind; plain ``trim`` keeps tabs."""
-    return F.trim(as_col(c), F.lit(_WHITESPACE))
+    return F.trim(as_col(c), F.lit(WHITESPACE))
 
 
 def to_day(c: Column | str) -> Column:
