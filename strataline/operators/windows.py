@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from strataline.operators.dense import dense_ids
+from strataline.session import stage
 
 # Rows of one key that a single task may sort.
 HOT_ROWS = 1_000_000
 # Rows per block once a key is split.
 BLOCK_ROWS = 1 << 16
+# Hot keys that are broadcast; more are joined by shuffle.
+BROADCAST_KEYS = 100_000
 
 Compute = Callable[[WindowSpec], dict[str, Column]]
 
@@ -69,12 +72,16 @@ def offset_window(
     are numbered and evaluated in blocks, so no task has to sort a whole hot key.
     """
     sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0]
+    n_hot = sizes.agg(F.count_if(F.col("_rows") > hot_rows)).first()[0]
     plain = Window.partitionBy(*partition_by).orderBy(*order_by)
-    if largest is None or largest <= hot_rows:
+    if n_hot == 0:
         return _apply(df, plain, compute)
 
-    hot = sizes.filter(F.col("_rows") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in partition_by])
+    hot = stage(
+        sizes.filter(F.col("_rows") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in partition_by]), "hot"
+    )
+    if n_hot <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
     is_hot = None
     for k in partition_by:
         term = df[k].eqNullSafe(hot[f"_hot_{k}"])

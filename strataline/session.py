@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,6 +58,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Paths written by stage() inside the innermost staging() block of this context.
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -64,4 +71,22 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    paths = _staged.get()
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged inside the block when it ends. Results must be written by then."""
+    paths: list[str] = []
+    token = _staged.set(paths)
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in paths:
+            target = hadoop(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -36,7 +36,7 @@ from strataline.plans.snapshots import pending
 from strataline.schemas import TableSpec
 from strataline.session import scratch_path
 from strataline.settings import AtLeast, NotNull, QualityRules, References, Unique
-from strataline.sources.fingerprint import file_fingerprints
+from strataline.sources.fingerprint import file_fingerprints, table_digests
 from strataline.workload.feed import ingest_customers, replay_feed
 from strataline.workload.tables import POINT, cents, load, price_points
 
@@ -490,10 +490,7 @@ def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "fingerprint")
     load(spark, sf, "orders").write.option("header", True).csv(f"{root}/orders.csv")
     load(spark, sf, "documents").write.option("header", True).option("escape", '"').csv(f"{root}/documents.csv")
-    prints = file_fingerprints(spark, {t: f"{root}/{t}.csv" for t in ("orders", "documents", "absent")})
-    return prints.groupBy("table_name").agg(
-        F.sum("lines").alias("lines"), F.sha2(F.concat_ws("|", F.sort_array(F.collect_list("digest"))), 256).alias("digest")
-    )
+    return table_digests(file_fingerprints(spark, {t: f"{root}/{t}.csv" for t in ("orders", "documents", "absent")}))
 
 
 QUERIES: dict[str, Query] = {
