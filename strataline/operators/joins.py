@@ -146,15 +146,18 @@ def _resolve_shadowed(resolved: DataFrame, live: DataFrame) -> DataFrame:
 def orphan_keys(child: DataFrame, child_column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Distinct non-null child keys that no parent row has, as column ``key``."""
     keys = child.select(F.col(child_column).alias("key")).filter("key is not null").distinct()
-    parents = parent.select(F.col(parent_column).alias("_parent")).filter("_parent is not null")
+    parents = parent.select(F.col(parent_column).alias("_parent")).filter("_parent is not null").distinct()
     return keys.join(parents, F.col("key") == F.col("_parent"), "left_anti")
 
 
 def new_rows(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key the existing table lacks; two null keys are equal."""
+    """Incoming rows whose key the existing table lacks; two null keys are equal.
+
+    The existing keys are made distinct first, which collapses a repeated key before it is shuffled.
+    """
     if existing is None:
         return incoming
-    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys]).distinct()
     cond = None
     for k in keys:
         term = incoming[k].eqNullSafe(known[f"_known_{k}"])

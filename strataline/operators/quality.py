@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strataline.functions.casts import lenient_double
 from strataline.operators.dedupe import duplicated_keys
 from strataline.operators.joins import orphan_keys
+from strataline.session import control_table
 from strataline.settings import AtLeast, NotNull, QualityRules, References, Unique
 
 RESULT_DDL = "check_type string, table string, passed boolean, violation_count bigint, details string"
@@ -166,7 +167,7 @@ def run_checks(
     if rules.schema_drift and metrics is not None:
         parts.append(drift_check(metrics))
     if not parts:
-        return spark.createDataFrame([], RESULT_DDL)
+        return control_table(spark, [], RESULT_DDL)
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -35,7 +35,7 @@ def upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str])
     fresh = last_per_key(incoming, keys)
     if existing is None:
         return fresh
-    kept = new_rows(fresh.select(*keys), existing, keys)
+    kept = new_rows(incoming.select(*keys), existing, keys)
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -42,9 +42,8 @@ def blocked_window(
     """
     if preceding + following >= block_rows:
         raise ValueError("a block must be larger than the frame")
-    index = F.col(position) - 1
-    home = F.floor(index / block_rows)
-    offset = index % block_rows
+    home = F.expr(f"(`{position}` - 1) div {block_rows}")
+    offset = (F.col(position) - 1) % block_rows
     copies = [home]
     if preceding:
         copies.append(F.when(offset >= block_rows - preceding, home + 1))

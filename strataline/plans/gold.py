@@ -93,32 +93,26 @@ def side_performance(perspectives: DataFrame, names: DataFrame, *, key: str, nam
     """Results per ``key`` and season from rows (key, season, side, game_id, recorded_name, result,
     scored, conceded); ``names`` has one row (key, name) per known key.
 
-    Measures use fixed-size buffers and aggregate in a hash table. Recorded names matter only for keys
-    without a known name, so just those rows go through the ordered minimum.
+    Rows are first aggregated per side and recorded name, in a hash table with fixed-size buffers; the
+    first recorded name is then an ordered minimum over those few groups only.
     """
-    measured = perspectives.groupBy(key, "season").agg(
+    per_name = perspectives.groupBy(key, "season", "side", "recorded_name").agg(
         F.count("game_id").alias("matches_played"),
         F.count_if(F.col("result") == "W").alias("wins"),
         F.count_if(F.col("result") == "L").alias("losses"),
         F.count_if(F.col("result") == "D").alias("draws"),
-        total("scored").alias("goals_scored"),
-        total("conceded").alias("goals_conceded"),
+        F.sum("scored").alias("goals_scored"),
+        F.sum("conceded").alias("goals_conceded"),
+        F.min("game_id").alias("first_game"),
     )
-    known = names.filter(F.col("name").isNotNull()).select(F.col(key).alias("_known"), "name")
-    first_recorded = (
-        perspectives.filter(F.col("recorded_name").isNotNull())
-        .join(known, F.col(key) == F.col("_known"), "left_anti")
-        .groupBy(F.col(key).alias("_key"), F.col("season").alias("_season"))
-        .agg(F.min(F.struct("side", "game_id", "recorded_name"))["recorded_name"].alias("_recorded"))
+    recorded = F.when(F.col("recorded_name").isNotNull(), F.struct("side", "first_game", "recorded_name"))
+    measures = ("matches_played", "wins", "losses", "draws", "goals_scored", "goals_conceded")
+    measured = per_name.groupBy(key, "season").agg(
+        F.min(recorded)["recorded_name"].alias("_recorded"), *[total(m).alias(m) for m in measures]
     )
-    return (
-        measured.join(known, F.col(key) == F.col("_known"), "left")
-        .join(first_recorded, (F.col(key) == F.col("_key")) & (F.col("season") == F.col("_season")), "left")
-        .select(
-            key, "season", F.coalesce("name", "_recorded").alias(name), "matches_played", "wins", "losses", "draws",
-            "goals_scored", "goals_conceded",
-        )
-    )
+    known = names.filter(F.col("name").isNotNull())
+    named = lookup(measured, known, {key: key}, {"_name": "name"})
+    return named.select(key, "season", F.coalesce("_name", "_recorded").alias(name), *measures)
 
 
 def rolling_mean(value: str, rows: int):

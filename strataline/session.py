@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import json
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Local sessions without a configured folder get one per process.
 _local_dir: str | None = None
@@ -58,6 +61,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def control_table(spark: SparkSession, rows: Sequence[Sequence[object]], ddl: str) -> DataFrame:
+    """A few rows held by the driver (ledger entries, a register) as a DataFrame.
+
+    They travel as one JSON literal, so no Python worker is started for them.
+    """
+    schema = T.StructType.fromDDL(ddl)
+    records = json.dumps([dict(zip(schema.names, r, strict=True)) for r in rows], default=str)
+    parsed = F.from_json(F.lit(records), T.ArrayType(schema))
+    return spark.range(1).select(F.inline(parsed))
+
+
 # Paths written by stage() inside the innermost staging() block of this context.
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strataline.plans.snapshots import pending, run_snapshot, snapshot_fingerprint
+from strataline.session import control_table
 from strataline.settings import Settings
 from strataline.sources.store import LayerStore
 
@@ -28,7 +29,7 @@ def deliver(
         # The batch lists snapshots, one row each; their data stays in the files it points to.
         for row in batch.orderBy(F.col("position")).collect():
             digest = snapshot_fingerprint(store.spark, row.directory)
-            listed = store.spark.createDataFrame([(row.snapshot, digest)], "snapshot string, content_hash string")
+            listed = control_table(store.spark, [(row.snapshot, digest)], "snapshot string, content_hash string")
             if not pending(listed, store.ledger()).isEmpty():
                 run_snapshot(store, row.snapshot, row.directory, settings, content_hash=digest)
 
