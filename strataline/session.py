@@ -8,9 +8,10 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from contextvars import ContextVar
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,8 +58,31 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+# Scratch folders of this process that no staging() block removes earlier.
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new folder name in the shared folder; it is removed when the process ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if not _scratch:
+        atexit.register(_remove_scratch)
+    _scratch.append(path)
+    return path
+
+
+def _remove(paths: Sequence[str], conf=None) -> None:
+    jvm = SparkContext._jvm
+    conf = conf or jvm.org.apache.hadoop.conf.Configuration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+
+
+def _remove_scratch() -> None:
+    # The session may be stopped by now; its JVM lives as long as the process.
+    with suppress(Exception):
+        _remove(_scratch)
 
 
 def control_table(spark: SparkSession, rows: Sequence[Sequence[object]], ddl: str) -> DataFrame:
@@ -100,7 +124,4 @@ def staging(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _staged.reset(token)
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        for path in paths:
-            target = hadoop(path)
-            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        _remove(paths, spark.sparkContext._jsc.hadoopConfiguration())
