@@ -96,3 +96,6 @@ SOURCE_TABLES: dict[str, TableSpec] = {
 # Position of a row in its source, kept beside the declared columns so that "last row wins" is exact
 # however the file was split.
 SOURCE_ORDER = ("_src_file", "_src_block", "_src_row")
+
+# The raw text of a row whose number of fields differs from the header's.
+MALFORMED = "_src_malformed"
