@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, packing, pii, secret_scan
+from strataline.llm import chat, packing, pii, quality, secret_scan
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -43,6 +43,11 @@ def _digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, and the verdict of rules learned from the labels."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and its digests read back from the output."""
     turns = chat.plain_turns(table(spark, sf_dir, "conversations"))
@@ -75,6 +80,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op6_chat": op6_chat,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
