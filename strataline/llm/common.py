@@ -64,3 +64,9 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+
+
+def thinned(at: Column, rows: int, total: int | Column) -> Column:
+    """Whether a row's hash ``at`` is among the share that leaves about four times ``rows`` of ``total`` rows."""
+    scale = 1 << 30
+    return F.pmod(at, F.lit(scale)) < F.ceil(F.lit(4.0 * rows * scale) / F.greatest(F.lit(1), total if isinstance(total, Column) else F.lit(total)))

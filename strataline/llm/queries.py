@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, packing, pii, quality, secret_scan
+from strataline.llm import chat, langid, packing, pii, quality, secret_scan
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -48,6 +48,13 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, by a network that saw two thirds of them."""
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.withColumn("held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and its digests read back from the output."""
     turns = chat.plain_turns(table(spark, sf_dir, "conversations"))
@@ -81,6 +88,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
+    "op3_langid": op3_langid,
     "op6_chat": op6_chat,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
