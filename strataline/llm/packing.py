@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import operator
 import zlib
 from collections.abc import Callable, Iterator, Sequence
 
@@ -31,11 +32,13 @@ from strataline.session import stage
 CAPACITY = 1024
 END_ID = 0
 # Rests are cut to pieces of at most so many ids.
-CUT = 512
+CUT = 340
 GROUP_PIECES = 512
 # Words whose ids a task remembers.
 CACHE_WORDS = 400_000
 
+_SUM = operator.itemgetter(0)
+
 
 def encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[str], bytes]:
     """Text to ids, as little-endian unsigned 32-bit integers.
@@ -56,20 +59,25 @@ def encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[str
     def encode(text: str) -> bytes:
         return np.array(plain.encode_ordinary(text), dtype="<u4").tobytes()
 
-    known: dict[str, bytes] = {}
+    # Ids of a word at the start of a line, and after a space.
+    first_ids: dict[str, bytes] = {}
+    later_ids: dict[str, bytes] = {}
     newline = encode("\n")
 
+    def ids_of(word: str, known: dict[str, bytes], before: str) -> bytes:
+        ids = known.get(word)
+        if ids is None:
+            ids = encode(before + word)
+            if len(known) < CACHE_WORDS:
+                known[word] = ids
+        return ids
+
     def words(line: str) -> list[bytes]:
         first, *rest = line.split(" ")
-        out = []
-        for word in (first, *(f" {w}" for w in rest)):
-            ids = known.get(word)
-            if ids is None:
-                ids = encode(word)
-                if len(known) < CACHE_WORDS:
-                    known[word] = ids
-            out.append(ids)
-        return out
+        later = list(map(later_ids.get, rest))
+        if None in later:
+            later = [ids_of(w, later_ids, " ") if ids is None else ids for w, ids in zip(rest, later, strict=True)]
+        return [ids_of(first, first_ids, ""), *later]
 
     def run(text: str) -> bytes:
         if any(name in text for name in special):
@@ -94,30 +102,43 @@ def cuts(n: int, capacity: int = CAPACITY, cut: int = CUT) -> Iterator[tuple[int
 
 
 def difference(sizes: Sequence[int], ways: int) -> list[list[int]]:
-    """Multiway Karmarkar-Karp: the indices of ``sizes`` in ``ways`` sets of near-equal sums.
+    """Multiway Karmarkar-Karp: the indices of ``sizes`` in at most ``ways`` sets of near-equal sums.
 
-    A partial partition is a sorted vector of sums, less their minimum, and the sets behind them. The two with
-    the largest spread are merged, the heaviest set of one with the lightest of the other.
+    A partial partition is a sorted list of its non-empty sets, as (sum, number, members); its imbalance is the
+    largest sum less the smallest, which is zero while a set is empty. The two partitions of largest imbalance
+    are merged, the heaviest set of one with the lightest of the other, until one is left.
     """
-    empty: list[list[int]] = [[] for _ in range(ways - 1)]
-    heap: list[tuple[int, int, np.ndarray, list[list[int]]]] = []
-    for i, size in enumerate(sizes):
-        sums = np.zeros(ways, dtype=np.int64)
-        sums[-1] = size
-        heap.append((-size, i, sums, [*empty, [i]]))
+    heap = [(-size, i, [(size, i, (i, None))]) for i, size in enumerate(sizes)]
     heapq.heapify(heap)
-    tie = len(sizes)
+    number = len(sizes)
     while len(heap) > 1:
-        _, _, a, in_a = heapq.heappop(heap)
-        _, _, b, in_b = heapq.heappop(heap)
-        sums = a + b[::-1]
-        order = np.argsort(sums, kind="stable")
-        sums = sums[order]
-        sums -= sums[0]
-        sets = [in_a[k] + in_b[ways - 1 - k] for k in order.tolist()]
-        tie += 1
-        heapq.heappush(heap, (-int(sums[-1]), tie, sums, sets))
-    return [x for x in heap[0][3] if x] if heap else []
+        _, _, a = heapq.heappop(heap)
+        _, _, b = heapq.heappop(heap)
+        if len(a) < len(b):
+            a, b = b, a
+        empty = min(ways - len(a), len(b))
+        merged = b[len(b) - empty :]
+        for (x, _, in_x), (y, _, in_y) in zip(a, b[len(b) - empty - 1 :: -1] if empty < len(b) else (), strict=False):
+            merged.append((x + y, number, (in_x, in_y)))
+            number += 1
+        merged += a[len(b) - empty :]
+        merged.sort(key=_SUM)
+        spread = merged[-1][0] - (merged[0][0] if len(merged) == ways else 0)
+        number += 1
+        heapq.heappush(heap, (-spread, number, merged))
+    return [_members(s[2]) for s in heap[0][2]] if heap else []
+
+
+def _members(tree: tuple) -> list[int]:
+    """The indices under a set: a leaf is (index, None), a merge is a pair of sets."""
+    out, todo = [], [tree]
+    while todo:
+        left, right = todo.pop()
+        if right is None:
+            out.append(left)
+        else:
+            todo += (left, right)
+    return out
 
 
 def windows(sizes: Sequence[int], capacity: int = CAPACITY) -> list[list[int]]:
