@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataline.llm.common import SPACE, let, text_or_empty
+from strataline.llm.common import SPACE, let, text_or_empty, thinned
 from strataline.session import stage
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -225,10 +225,13 @@ class Learner:
 def fit(counted: DataFrame, labels: DataFrame, learner: Learner = Learner(), id_col: str = "doc_id") -> list[Rule]:
     """The decision list for statistics of ``stats`` and a table of (id, quality), 1 for good."""
     known = labels.filter(F.col("quality").isNotNull()).groupBy(id_col).agg(F.min("quality").alias("quality"))
+    at = F.xxhash64(id_col)
     rows = (
         counted.filter(~base_failed())
         .join(known, id_col)
-        .select((F.col("quality") < 1).alias("bad"), *[feature(f).alias(f) for f in FEATURES], F.xxhash64(id_col).alias("at"))
+        # Thinned by a hash before the exact bound, so that no task or driver sorts all labelled rows.
+        .filter(thinned(at, learner.fit_rows, known.count()))
+        .select((F.col("quality") < 1).alias("bad"), *[feature(f).alias(f) for f in FEATURES], at.alias("at"))
         .orderBy("at", *FEATURES)
         .limit(learner.fit_rows)
         .collect()
