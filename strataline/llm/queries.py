@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, langid, packing, pii, quality, secret_scan
+from strataline.llm import chat, langid, mixing, packing, pii, quality, secret_scan, sql
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -55,6 +55,30 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
 
 
+# Weights of the production mix. A source's domain follows from the number at the end of its name.
+MIX = mixing.Mix(
+    weights={
+        "domain": {"web": 30, "reference": 30, "forum": 20, "books": 20},
+        "lang": {"en": 50, "de": 20, "fr": 20, "es": 10},
+    },
+    budget_permille=900,
+    max_epochs=2,
+)
+DOMAIN_SQL = (
+    "case {number} when '' then 'web' when '0' then 'web' else case cast({number} as int) % 3 "
+    "when 0 then 'reference' when 1 then 'forum' else 'books' end end"
+)
+
+
+def domain() -> Column:
+    return F.expr(DOMAIN_SQL.format(number="regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1)"))
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the production mix takes of every document."""
+    return mixing.allocate(table(spark, sf_dir, "documents"), domain(), MIX)
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation formatted, and its digests read back from the output."""
     turns = chat.plain_turns(table(spark, sf_dir, "conversations"))
@@ -89,10 +113,15 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_langid": op3_langid,
+    "op5_mixing": op5_mixing,
     "op6_chat": op6_chat,
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
     "op9_packing": op9_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixing": sql.mixing_sql(
+        DOMAIN_SQL.format(number="regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1)"), MIX
+    ),
+}
