@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, langid, mixing, packing, pii, quality, secret_scan, sql
+from strataline.llm import chat, jaccard, langid, mixing, packing, pii, quality, secret_scan, sql
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -110,6 +110,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_files())
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose three-word shingles are equal to nine tenths, as components."""
+    return jaccard.components(table(spark, sf_dir, "documents"), jaccard.Similarity(words=3, percent=90))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_langid": op3_langid,
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_secrets": op8_secrets,
     "op9_packing": op9_packing,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLE_SQL: dict[str, str] = {
