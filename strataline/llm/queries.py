@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, jaccard, langid, mixing, packing, pii, quality, secret_scan, sql
+from strataline.llm import chat, jaccard, langid, mixing, neighbours, packing, pii, quality, secret_scan, sql
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -55,6 +55,11 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector, among all vectors."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 # Weights of the production mix. A source's domain follows from the number at the end of its name.
 MIX = mixing.Mix(
     weights={
@@ -118,6 +123,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_langid": op3_langid,
+    "op4_neighbours": op4_neighbours,
     "op5_mixing": op5_mixing,
     "op6_chat": op6_chat,
     "op7_pii": op7_pii,
