@@ -91,7 +91,7 @@ def _repeat_words(words: str) -> Column:
 
 
 def stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: its id and the counts that rules are made of."""
+    """One row per row of ``docs``: its column ``id_col`` and the counts that rules are made of."""
     text = docs.select(id_col, text_or_empty(text_col).alias("text"))
     trimmed = F.btrim("text", F.lit(BLANKS))
     split = text.select(
@@ -262,3 +262,13 @@ def judge(docs: DataFrame, labels: DataFrame, learner: Learner = Learner()) -> D
         .withColumn("rule", verdict(rules).cast("int"))
         .withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
     )
+
+
+def keep(docs: DataFrame, labels: DataFrame, learner: Learner = Learner()) -> DataFrame:
+    """The documents that neither the base rules nor the learned ones reject, with all their columns.
+
+    Statistics are made twice, for learning and for deciding, which is cheaper than moving texts to a join.
+    """
+    rules = fit(stage(stats(docs), "quality"), labels, learner)
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text")
+    return stats(whole, id_col="doc").filter(~base_failed() & (verdict(rules) == 0)).select("doc.*")

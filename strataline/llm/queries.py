@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, jaccard, langid, mixing, neighbours, packing, pii, quality, secret_scan, sql
+from strataline.llm import chat, jaccard, langid, licenses, mixing, neighbours, packing, pii, quality, secret_scan, sql
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -43,6 +43,19 @@ def _digest(found: DataFrame, base: tuple[str, ...]) -> DataFrame:
     )
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named in every document, and where."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    place = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
+    return found.select(
+        "doc_id",
+        F.size("sentences").cast("long").alias("n_sentences"),
+        F.size("matches").cast("long").alias("n_matches"),
+        F.array_join(F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"]))), ",").alias("licenses"),
+        F.array_join(place, ",").alias("matches"),
+    )
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, and the verdict of rules learned from the labels."""
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -121,6 +134,7 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_quality": op2_quality,
     "op3_langid": op3_langid,
     "op4_neighbours": op4_neighbours,
