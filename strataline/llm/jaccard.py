@@ -26,7 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest, xxh3_128_digest
 
@@ -141,20 +141,24 @@ def _places(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.nd
 
 
 def _prefixes(docs: DataFrame, how: Similarity, frequent: Broadcast) -> DataFrame:
+    """Class, text key and size of every document, and the first shingles: twice as many as candidates must share."""
+
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        for (text,) in rows:
+        for text, key in rows:
             found = shingles(text, how.words)
             if len(found):
                 place = _places(found, frequent.value)
                 ordered = np.concatenate([found[place == 0], found[place > 0][np.argsort(place[place > 0], kind="stable")]])
-                yield _class(found), len(found), _signed(ordered[: how.prefix(len(found))])
+                yield _class(found), key, len(found), _signed(ordered[: 2 * how.prefix(len(found))])
 
-    return map_rows(docs.select("text"), run, "class binary, n long, prefix array<long>", batch_rows=20_000)
+    return map_rows(
+        docs.select("text", _text_key().alias("key")), run, "class binary, key long, n long, prefix array<long>", batch_rows=20_000
+    )
 
 
 def _fragments(docs: DataFrame, words: int, frequent: Broadcast, wanted: DataFrame) -> DataFrame:
-    """The non-empty fragments (node, f, part) of the wanted nodes, a table of (class, node)."""
-    bit = F.conv(F.hex(F.substring("class", 1, 4)), 16, 10).cast("long") % FILTER_BITS
+    """The non-empty fragments (node, f, part) of the wanted nodes, a table of (class, key, node)."""
+    bit = F.pmod("key", F.lit(FILTER_BITS))
     held = (
         wanted.select(bit.alias("bit"))
         .groupBy(F.expr("bit div 64").alias("word"))
@@ -166,37 +170,59 @@ def _fragments(docs: DataFrame, words: int, frequent: Broadcast, wanted: DataFra
     filled = docs.sparkSession.sparkContext.broadcast(held_words.view(np.uint64))
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        done: set[bytes] = set()
-        for (text,) in rows:
+        done: set[int] = set()
+        for text, key in rows:
+            at = key % FILTER_BITS
+            if key in done or not int(filled.value[at // 64]) >> (at % 64) & 1:
+                continue
+            done.add(key)
             found = shingles(text, words)
             cls = _class(found)
-            at = int.from_bytes(cls[:4], "big") % FILTER_BITS
-            if cls in done or not len(found) or not int(filled.value[at // 64]) >> (at % 64) & 1:
-                continue
-            done.add(cls)
             place = _places(found, frequent.value)
             rare = found[place == 0]
             cut = np.searchsorted(rare, np.arange(1, RARE_FRAGMENTS, dtype=np.uint64) << np.uint64(62))
             yield cls, [_signed(part) for part in (*np.split(rare, cut), found[place > 0])]
 
-    made = map_rows(docs.select("text"), run, "class binary, parts array<array<long>>")
+    made = map_rows(docs.select("text", _text_key().alias("key")), run, "class binary, parts array<array<long>>")
     return (
         made.groupBy("class")
         .agg(F.first("parts").alias("parts"))
-        .join(wanted, "class")
+        .join(wanted.select("class", "node"), "class")
         .select("node", F.posexplode("parts").alias("f", "part"))
         .filter(F.size("part") > 0)
     )
 
 
+def _hopeful(pairs: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
+    """The pairs whose prefixes have enough in common.
+
+    A link needs ``least`` common shingles, so at most ``n - least`` of a set's first shingles are its own. The
+    prefix that ends first in the order has all its common shingles in the other prefix too.
+    """
+    of_u, of_v = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("prefix").alias(f"first_{x}")) for x in "uv")
+    least = F.ceil(how.percent * (F.col("n_u") + F.col("n_v")) / (100 + how.percent))
+    need = F.least(*[F.size(f"first_{x}") - F.col(f"n_{x}") + least for x in "uv"])
+    return (
+        pairs.join(of_u, "u")
+        .join(of_v, "v")
+        .filter(F.size(F.array_intersect("first_u", "first_v")) >= need)
+        .select("u", "v")
+    )
+
+
+def _text_key() -> Column:
+    """A text's number; equal texts have equal numbers."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, how: Similarity, frequent: Broadcast) -> DataFrame:
-    """The pairs (u, v) that are similar enough. ``pairs`` has u and v, ``nodes`` has class, node and n."""
-    pairs = stage(pairs, "pairs")
+    """The pairs (u, v) that are similar enough. ``nodes`` has class, key, node, n and prefix."""
+    pairs = stage(_hopeful(stage(pairs, "pairs"), nodes, how), "hopeful")
     if pairs.isEmpty():
         return pairs
     wanted = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-    wanted = stage(nodes.join(wanted, "node").select("class", "node", "n"), "wanted")
-    parts = stage(_fragments(docs, how.words, frequent, wanted.select("class", "node")), "fragments")
+    wanted = stage(nodes.join(wanted, "node").select("class", "key", "node", "n"), "wanted")
+    parts = stage(_fragments(docs, how.words, frequent, wanted), "fragments")
     overlap = (
         pairs.join(parts.select(F.col("node").alias("u"), "f", F.col("part").alias("part_u")), "u")
         .join(parts.select(F.col("node").alias("v"), "f", F.col("part").alias("part_v")), ["v", "f"])
@@ -247,12 +273,18 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
     frequent = _frequent(read)
     kept = read.filter("class is not null").drop("shingle", "seen")
     # A node is a class; its number is fixed by the written table.
-    prefixes = _prefixes(docs, how, frequent).groupBy("class").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    nodes = stage(prefixes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    postings = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
+    nodes = (
+        _prefixes(docs, how, frequent)
+        .groupBy("class")
+        .agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    )
+    nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    first = F.expr(f"slice(prefix, 1, cast(n - ({how.percent} * n + 99) div 100 + 1 as int))")
+    postings = nodes.select("node", "n", F.explode(first).alias("shingle"))
     several = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("shingle")
     shared = stage(postings.join(several, "shingle"), "shared")
-    nodes = nodes.drop("prefix")
+    all_nodes = nodes.select("class", "node")
+    nodes = stage(nodes.join(shared.select("node").distinct(), "node"), "candidates")
 
     joined = shared.select(F.col("node").alias("u"), F.col("node").alias("v")).filter(F.lit(False))
     for turn in range(LEADER_ROUNDS):
@@ -274,8 +306,7 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
 
     smallest = kept.filter("n > 0").groupBy("class").agg(F.min(id_col).alias("least"))
     rooted = (
-        nodes.select("class", "node")
-        .join(joined, F.col("node") == F.col("u"), "left")
+        all_nodes.join(joined, F.col("node") == F.col("u"), "left")
         .select("class", F.coalesce("v", "node").alias("root"))
         .join(smallest, "class")
     )
@@ -284,3 +315,16 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
     return kept.join(answer, "class", "left").select(
         id_col, F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col(id_col)).alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "doc_id") -> DataFrame:
+    """One document of each component: the one with the smallest id, of several rows with that id one.
+
+    Rows with a null id stay.
+    """
+    found = components(docs, how, id_col)
+    kept = found.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+    whole = docs.select(id_col, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    one = Window.partitionBy(id_col).orderBy(F.xxhash64("doc.text"), "doc.text")
+    chosen = whole.join(kept, id_col, "left_semi").withColumn("turn", F.row_number().over(one)).filter("turn = 1")
+    return chosen.select("doc").union(whole.filter(F.col(id_col).isNull()).select("doc")).select("doc.*")
