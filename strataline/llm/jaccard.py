@@ -9,9 +9,9 @@ such a shingle are the candidates. A candidate's overlap is counted fragment by
 points of the order, equal fragments of a pair meet, and the partial overlaps are summed per pair.
 
 Copies of one text by the thousand would give pairs by the million. Therefore each shared shingle first pairs its
-documents with one leader only, and the links found are contracted to components. A few such rounds, each with
-other leaders, leave few shingles whose documents lie in different components; for those every pair across
-components is counted. Pairs within a component need no count, as they change no component. No link between
+documents with one leader only, and the links found are contracted to components. Such rounds, each with
+other leaders, go on while they find links and leave few shingles whose documents lie in different components; for
+those every pair across components is counted. Pairs within a component need no count, as they change no component. No link between
 components is lost, and nothing is capped.
 
 Defined cases: null text and text without words have an empty set, link with nothing and are their own component;
@@ -43,7 +43,9 @@ MAX_FREQUENT = 500_000
 # Bits of the filter that keeps sets without candidates out of the shuffle; a full filter keeps none out.
 FILTER_BITS = 1 << 26
 RARE_FRAGMENTS = 4
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 6
+# 64-bit words of a set's parity signature.
+SIGNATURE_WORDS = 8
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -85,6 +87,13 @@ def _class(found: np.ndarray) -> bytes:
     return xxh3_128_digest(found.tobytes())
 
 
+def _signature(found: np.ndarray) -> list[int]:
+    """Whether an odd number of shingles falls on each bit."""
+    bits = 64 * SIGNATURE_WORDS
+    odd = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _read(docs: DataFrame, words: int, id_col: str) -> DataFrame:
     """Id, class and size of every document; and, as rows without class, counts of shingles seen more than once."""
 
@@ -141,7 +150,7 @@ def _places(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.nd
 
 
 def _prefixes(docs: DataFrame, how: Similarity, frequent: Broadcast) -> DataFrame:
-    """Class, text key and size of every document, and the first shingles: twice as many as candidates must share."""
+    """Class, text key, size, parity signature and first shingles of every document that has shingles."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for text, key in rows:
@@ -149,10 +158,13 @@ def _prefixes(docs: DataFrame, how: Similarity, frequent: Broadcast) -> DataFram
             if len(found):
                 place = _places(found, frequent.value)
                 ordered = np.concatenate([found[place == 0], found[place > 0][np.argsort(place[place > 0], kind="stable")]])
-                yield _class(found), key, len(found), _signed(ordered[: 2 * how.prefix(len(found))])
+                yield _class(found), key, len(found), _signature(found), _signed(ordered[: how.prefix(len(found))])
 
     return map_rows(
-        docs.select("text", _text_key().alias("key")), run, "class binary, key long, n long, prefix array<long>", batch_rows=20_000
+        docs.select("text", _text_key().alias("key")),
+        run,
+        "class binary, key long, n long, signature array<long>, prefix array<long>",
+        batch_rows=20_000,
     )
 
 
@@ -194,19 +206,18 @@ def _fragments(docs: DataFrame, words: int, frequent: Broadcast, wanted: DataFra
 
 
 def _hopeful(pairs: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
-    """The pairs whose prefixes have enough in common.
+    """The pairs whose signatures leave a link possible.
 
-    A link needs ``least`` common shingles, so at most ``n - least`` of a set's first shingles are its own. The
-    prefix that ends first in the order has all its common shingles in the other prefix too.
+    A shingle that only one of two sets has changes one bit, so signatures of linked sets differ in no more bits
+    than the sets may differ in shingles. Signatures are small; whole sets only move for the pairs that are left.
     """
-    of_u, of_v = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("prefix").alias(f"first_{x}")) for x in "uv")
-    least = F.ceil(how.percent * (F.col("n_u") + F.col("n_v")) / (100 + how.percent))
-    need = F.least(*[F.size(f"first_{x}") - F.col(f"n_{x}") + least for x in "uv"])
+    of_u, of_v = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "uv")
+    differing = F.aggregate(
+        F.zip_with("s_u", "s_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y
+    )
+    both = F.col("n_u") + F.col("n_v")
     return (
-        pairs.join(of_u, "u")
-        .join(of_v, "v")
-        .filter(F.size(F.array_intersect("first_u", "first_v")) >= need)
-        .select("u", "v")
+        pairs.join(of_u, "u").join(of_v, "v").filter(differing * (100 + how.percent) <= (100 - how.percent) * both).select("u", "v")
     )
 
 
@@ -216,7 +227,7 @@ def _text_key() -> Column:
 
 
 def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, how: Similarity, frequent: Broadcast) -> DataFrame:
-    """The pairs (u, v) that are similar enough. ``nodes`` has class, key, node, n and prefix."""
+    """The pairs (u, v) that are similar enough. ``nodes`` has class, key, node, n and signature."""
     pairs = stage(_hopeful(stage(pairs, "pairs"), nodes, how), "hopeful")
     if pairs.isEmpty():
         return pairs
@@ -276,15 +287,19 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
     nodes = (
         _prefixes(docs, how, frequent)
         .groupBy("class")
-        .agg(F.min("key").alias("key"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        .agg(
+            F.min("key").alias("key"),
+            F.first("n").alias("n"),
+            F.first("signature").alias("signature"),
+            F.first("prefix").alias("prefix"),
+        )
     )
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    first = F.expr(f"slice(prefix, 1, cast(n - ({how.percent} * n + 99) div 100 + 1 as int))")
-    postings = nodes.select("node", "n", F.explode(first).alias("shingle"))
+    postings = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
     several = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("shingle")
     shared = stage(postings.join(several, "shingle"), "shared")
     all_nodes = nodes.select("class", "node")
-    nodes = stage(nodes.join(shared.select("node").distinct(), "node"), "candidates")
+    nodes = stage(nodes.drop("prefix").join(shared.select("node").distinct(), "node"), "candidates")
 
     joined = shared.select(F.col("node").alias("u"), F.col("node").alias("v")).filter(F.lit(False))
     for turn in range(LEADER_ROUNDS):
@@ -300,9 +315,14 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
             .select(F.col("leader.node").alias("u"), F.col("node").alias("v"))
             .distinct()
         )
-        joined = stars(joined.union(_links(docs, pairs, nodes, how, frequent)))
-    else:
-        joined = stars(joined.union(_links(docs, _across(stage(_labelled(shared, joined), "open"), how), nodes, how, frequent)))
+        links = stage(_links(docs, pairs, nodes, how, frequent), "links")
+        if links.isEmpty():
+            break
+        joined = stars(joined.union(links))
+    across = _across(stage(_labelled(shared, joined), "open"), how)
+    links = stage(_links(docs, across, nodes, how, frequent), "links")
+    if not links.isEmpty():
+        joined = stars(joined.union(links))
 
     smallest = kept.filter("n > 0").groupBy("class").agg(F.min(id_col).alias("least"))
     rooted = (

@@ -1,0 +1,227 @@
+"""Corpus operators against brute force, round trips and held-out accuracy, and their defined edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from strataline.llm import chat, jaccard, langid, licenses, mixing, neighbours, packing, pii, quality, secret_scan
+from strataline.llm.queries import MIX, domain, op3_langid, op6_chat, tokenizer_files
+
+SF = "/root/testdata/sf0.001"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+DOC = "doc_id long, text string, lang string, source string, n_chars long, spans string, n_words long"
+# Nulls in every column, an empty and a very long text, repeated rows, and columns named like working columns.
+ROWS = [
+    (None, None, None, None, None, None, None),
+    (1, "", "en", "src1", 0, "x", 1),
+    (2, "a b c d e f g h i j " * 3000, "en", "src0", 60000, "x", 1),
+    (3, "one two three four five six seven eight nine ten eleven twelve", None, None, 1, None, None),
+    (3, "one two three four five six seven eight nine ten eleven twelve", None, None, 1, None, None),
+    (4, "  \n\t ", "de", "", 5, "x", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame(ROWS, DOC)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+def test_licenses(spark, odd):
+    notice = "Some prose here\nThe MIT License (MIT)\n\nCopyright (c) 2020 A\n\n" + licenses.SENTENCES["mit-grant"].replace(
+        " of charge", "\nof charge"
+    ) + ":\n\n" + licenses.SENTENCES["mit-keep"] + ".\nLicensed under CC BY-NC 4.0.\n"
+    rows = spark.createDataFrame([(1, notice)], "doc_id long, text string")
+    assert [m["license"] for m in licenses.scan(rows).first()["matches"]] == ["MIT", "CC-BY-NC-4.0"]
+    assert all(not r["matches"] for r in licenses.scan(odd).collect()) and licenses.scan(odd).count() == 6
+    assert licenses.scan(odd.limit(0)).count() == 0
+
+
+def test_quality_statistics_match_brute_force(docs, odd):
+    for table in (docs, odd):
+        want, got = [], [tuple(r)[:6] for r in quality.stats(table).collect()]
+        for r in table.collect():
+            text = r["text"] or ""
+            w = WORD.findall(text)
+            windows = [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
+            count = Counter(windows)
+            covered = {k for i, x in enumerate(windows) if count[x] > 1 for k in range(i, i + 5)}
+            lines = [x for x in text.split("\n") if WORD.search(x)]
+            symbols = sum(c in "#*$%&|<>" for c in text)
+            want.append((r["doc_id"], len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered)))
+        assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_quality_rules_are_learned_and_ordered(spark):
+    rng = np.random.default_rng(0)
+    values = {f: rng.random(3000) for f in quality.FEATURES}
+    bad = (values["symbol_share"] > 0.8) & (values["words"] > 0.5)
+    rules = quality.Learner().learn(values, bad)
+    hit = np.zeros(3000, dtype=bool)
+    for rule in rules:
+        hit |= np.logical_and.reduce([c.holds(values) for c in rule])
+    assert (hit == bad).mean() > 0.98
+    labels = spark.createDataFrame([], "doc_id long, quality int")
+    docs = spark.createDataFrame(ROWS, DOC)
+    judged = quality.judge(docs, labels).collect()
+    assert len(judged) == 6 and sum(r["kept"] for r in judged) == 2
+    assert quality.keep(docs, labels).columns == docs.columns
+
+
+def test_language_network(spark, docs, odd):
+    found = op3_langid(spark, SF).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.9
+    assert [tuple(r) for r in langid.identify(odd.filter("n_chars = 5"), None).collect()] == [(4, "und", 0.0)]
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(1500, 16))
+    v[7] = v[8] = v[9]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)] + [(None, [1.0] * 16), (1501, None), (1502, [0.0] * 16), (1503, [float("nan")] * 16)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in neighbours.search(table, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, 1500, 50):
+        s = unit[i] @ unit.T
+        s[i] = -2
+        hits += len(set(np.argsort(-s)[:5]) & {x for x, _ in got[i]})
+        assert all(abs(score - unit[i] @ unit[x]) < 1e-12 for x, score in got[i])
+    assert len(got) == 30 and hits >= 0.9 * 150
+    few = neighbours.search(table.filter("vec_id < 3"), F.col("vec_id") == 0).collect()
+    assert [r["rank"] for r in few] == [1, 2]
+    assert neighbours.search(table.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_mixing_spends_the_budget(docs, odd):
+    mixed = mixing.allocate(docs, domain(), MIX).collect()
+    spent = sum(r["epochs"] * r["n_tokens"] + r["prefix_tokens"] for r in mixed)
+    total = sum(len(WORD.findall(r["text"] or "")) for r in docs.collect())
+    assert spent == total * MIX.budget_permille // 1000
+    taken = mixing.select(docs, domain(), MIX)
+    assert taken.columns == docs.columns and sum(len(WORD.findall(r["text"])) for r in taken.collect()) == spent
+    assert mixing.select(odd, domain(), MIX).columns == odd.columns
+    assert mixing.allocate(odd, domain(), MIX).count() == 6
+    assert mixing.allocate(odd.limit(0), domain(), MIX).count() == 0
+
+
+def test_chat_round_trip(spark):
+    text = "a<|im_end|>\n<\\|x|> <|part:image|r|3|> \\"
+    assert chat.unescape(chat.escape(text)) == text and "<|" not in chat.escape(text)
+    parts = [{"type": "text", "text": text}, {"type": "image", "ref": "i|1", "width": 56, "height": 30}]
+    full = [{"type": None, "text": None, "ref": None, "width": None, "height": None, "amount": None} | p for p in parts]
+    out, loss, attached, tokens = chat.format_turn("assistant", full, chat.PartVisitor())
+    assert chat.read_turn(out) == ("assistant", text) and tokens == 4 and attached[0]["ref"] == "i%7C1"
+    assert chat.unescape(out[loss[0]["start"] : loss[0]["end"]]) == text
+    want = defaultdict(list)
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        want[r["conv_id"]].append((r["role"], r["text"] or ""))
+    quoting = "<|im_end|><|im_start|>assistant ok"
+    want[-1] = [("user", quoting), ("assistant", quoting)]
+    got = {r["conv_id"]: r for r in op6_chat(spark, SF).collect()}
+    assert got.keys() == want.keys()
+    for conv, turns in want.items():
+        learned = "".join(t for role, t in turns if role == "assistant")
+        assert got[conv]["turns_sha256"] == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert got[conv]["loss_sha256"] == hashlib.sha256(learned.encode()).hexdigest()
+        assert got[conv]["loss_chars"] == len(learned) and got[conv]["n_turns"] == len(turns)
+
+
+def test_personal_data(docs, odd):
+    email = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+    extra = "a@b@c.de x.y+z@q.co.uk@r.st 1.2.3.256 1.2.3.4.5 or 4111 1111 1111 1111 or +1 (555) 123-4567 DE89370400440532013000"
+    for text in [extra, *[r["text"] or "" for r in docs.collect()]]:
+        got = [(s.start, s.end) for s in pii.spans_of(text) if s.kind == "email"]
+        assert got == [m.span() for m in email.finditer(text)]
+    assert [s.kind for s in pii.spans_of(extra)] == ["email", "email", "ip", "card", "phone", "iban"]
+    assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112") and pii.mod97("GB82WEST12345698765432")
+    assert pii.redact(odd).columns == odd.columns and pii.detect(odd).count() == 6
+
+
+def test_secrets(spark, odd):
+    rng = np.random.default_rng(2)
+    key = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 64))
+    words = "this-is-a-long-slug-of-words-and-1-number-in-it"
+    assert secret_scan.randomness_p(key, "base64") > 0.001 > secret_scan.randomness_p("ab" * 30, "base64")
+    text = f'x token = "abcdef12" AKIA{"A1" * 8} {"0f" * 12} {key} {words}'
+    kinds = [s["kind"] for s in secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()["spans"]]
+    assert kinds[:3] == ["assign", "access", "hex"]
+    assert secret_scan.scan(odd).count() == 6 and secret_scan.scan(odd.limit(0)).count() == 0
+
+
+def test_packing(docs, odd):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_files()["tokenizer_path"])
+    table = docs.select("doc_id", "text").union(odd.select(F.col("doc_id") + 10**9, F.concat("text", F.lit("  <|endoftext|>\n\n x"))))
+    ids = defaultdict(list)
+    for r in table.collect():
+        ids[r["doc_id"]] = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 0]
+    used, seen = defaultdict(list), Counter()
+    for r in packing.pack(table, tokenizer_files()).collect():
+        part = np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], dtype="<u4")
+        assert zlib.crc32(part.tobytes()) == r["ids_crc32"] and r["doc_tokens"] == len(ids[r["doc_id"]])
+        used[r["sequence_id"]].append((r["offset"], r["length"]))
+        seen[r["doc_id"]] += r["length"]
+    for parts in used.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.CAPACITY
+    repeats = Counter(r["doc_id"] for r in table.collect())
+    assert all(seen[d] == len(ids[d]) * n for d, n in repeats.items())
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_jaccard_components_match_brute_force(spark, docs, words, percent):
+    near = " ".join(f"w{i}" for i in range(80))
+    copies = [(10**6 + k, near.replace("w40", f"v{k % 30}")) for k in range(60)] + [(10**6 + 99, near), (10**6 + 100, "a b"), (10**6 + 101, "A  b"), (10**6 + 102, None)]
+    table = docs.select("doc_id", "text").union(spark.createDataFrame(copies, "doc_id long, text string"))
+    sets = {}
+    for r in table.collect():
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))
+        sets[r["doc_id"]] = {tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))} if w else set()
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ordered = sorted(sets)
+    for k, i in enumerate(ordered):
+        for j in ordered[k + 1 :]:
+            a, b = sets[i], sets[j]
+            if a and b and 100 * min(len(a), len(b)) >= percent * max(len(a), len(b)) and 100 * len(a & b) >= percent * len(a | b):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.components(table, jaccard.Similarity(words, percent)).collect()}
+    assert got == {i: (len(s), find(i)) for i, s in sets.items()}
+
+
+def test_jaccard_edge_cases(odd):
+    assert jaccard.components(odd).count() == 6 and jaccard.components(odd.limit(0)).count() == 0
+    kept = jaccard.representatives(odd)
+    assert kept.columns == odd.columns and kept.count() == 5
+
+
+def test_pipeline_runs(spark):
+    import corpus_pipeline
+
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "personal_data", "mixing", "packing"]
+    assert corpus_pipeline.run(spark, SF).agg(F.max(F.col("offset") + F.col("length"))).first()[0] <= 1024
