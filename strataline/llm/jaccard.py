@@ -5,7 +5,9 @@ node goes on. The global order puts rare shingles first, by hash, and the freque
 order gives the same links, this one keeps passages that many documents share out of the prefixes.
 
 Two sets that are similar enough share a shingle among the first ``n - ceil(t n) + 1`` of each, so pairs that share
-such a shingle are the candidates. A candidate's overlap is counted fragment by fragment: sets are cut at the same
+such a shingle are the candidates. What lies before their first common
+shingle bounds what they can share, and parities of shingles by hash bits bound how far they differ, which leaves
+few candidates to count. A candidate's overlap is counted fragment by fragment: sets are cut at the same
 points of the order, equal fragments of a pair meet, and the partial overlaps are summed per pair.
 
 Copies of one text by the thousand would give pairs by the million. Therefore each shared shingle first pairs its
@@ -44,7 +46,7 @@ MAX_FREQUENT = 500_000
 FILTER_BITS = 1 << 26
 RARE_FRAGMENTS = 4
 LEADER_ROUNDS = 6
-# 64-bit words of a set's parity signature.
+# Least number of 64-bit words of a set's parity signature; it doubles until there are two bits for each shingle.
 SIGNATURE_WORDS = 8
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -88,8 +90,10 @@ def _class(found: np.ndarray) -> bytes:
 
 
 def _signature(found: np.ndarray) -> list[int]:
-    """Whether an odd number of shingles falls on each bit."""
+    """Whether an odd number of shingles falls on each bit. Its length is a power of two."""
     bits = 64 * SIGNATURE_WORDS
+    while bits < 2 * len(found):
+        bits *= 2
     odd = np.bincount((found % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
@@ -205,6 +209,28 @@ def _fragments(docs: DataFrame, words: int, frequent: Broadcast, wanted: DataFra
     )
 
 
+def _differing(a: Column, b: Column) -> Column:
+    """Bits in which two signatures differ. The longer one is folded, half onto half, to the length of the other."""
+
+    def folded(x: Column, other: Column) -> Column:
+        half = F.size(other)
+        return F.when(
+            F.size(x) == 2 * half,
+            F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q)),
+        ).otherwise(x)
+
+    bits = F.zip_with(folded(a, b), folded(b, a), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    # Sizes that a link allows are less than a factor of two apart, and so are lengths.
+    return F.when(
+        F.size(a).between(F.size(b) / 2, 2 * F.size(b)), F.aggregate(bits, F.lit(0), lambda x, y: x + y)
+    ).otherwise(0)
+
+
+def _few(differing: Column, both: Column, how: Similarity) -> Column:
+    """Whether sets of ``both`` shingles together may differ in so many and still be linked."""
+    return differing * (100 + how.percent) <= (100 - how.percent) * both
+
+
 def _hopeful(pairs: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
     """The pairs whose signatures leave a link possible.
 
@@ -212,13 +238,8 @@ def _hopeful(pairs: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
     than the sets may differ in shingles. Signatures are small; whole sets only move for the pairs that are left.
     """
     of_u, of_v = (nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("signature").alias(f"s_{x}")) for x in "uv")
-    differing = F.aggregate(
-        F.zip_with("s_u", "s_v", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda x, y: x + y
-    )
-    both = F.col("n_u") + F.col("n_v")
-    return (
-        pairs.join(of_u, "u").join(of_v, "v").filter(differing * (100 + how.percent) <= (100 - how.percent) * both).select("u", "v")
-    )
+    possible = _few(_differing(F.col("s_u"), F.col("s_v")), F.col("n_u") + F.col("n_v"), how)
+    return pairs.join(of_u, "u").join(of_v, "v").filter(possible).select("u", "v")
 
 
 def _text_key() -> Column:
@@ -250,14 +271,30 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, how: Similarity,
     )
 
 
-def _sizes_fit(a: str, b: str, how: Similarity) -> Column:
-    return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
+def _reach(n_u: str, rest_u: str, n_v: str, rest_v: str, how: Similarity) -> Column:
+    """Whether two sets can be linked if a shared shingle is the first that they share.
+
+    Everything they share then lies among the ``rest`` of each, the shingles from that one on. The first shingle
+    shared by linked sets passes, so no link is lost; and sizes that differ too much never pass.
+    """
+    return (100 + how.percent) * F.least(rest_u, rest_v) >= how.percent * (F.col(n_u) + F.col(n_v))
+
+
+def _sketches(nodes: DataFrame) -> DataFrame:
+    """Signatures folded to the two numbers of 64 bits that pairs are tested by as they are made."""
+
+    def folded(half: int) -> Column:
+        return F.aggregate(
+            F.filter("signature", lambda _, k: k % 2 == half), F.lit(0).cast("long"), lambda x, y: x.bitwiseXOR(y)
+        )
+
+    return nodes.select("node", folded(0).alias("even"), folded(1).alias("odd"))
 
 
 def _labelled(shared: DataFrame, joined: DataFrame) -> DataFrame:
     """Shared shingles whose documents lie in different components, with the component ``root`` of each."""
     root = F.coalesce("v", "node")
-    labelled = shared.join(joined, F.col("node") == F.col("u"), "left").select("shingle", "node", "n", root.alias("root"))
+    labelled = shared.join(joined, F.col("node") == F.col("u"), "left").select("shingle", "node", "n", "rest", root.alias("root"))
     split = (
         labelled.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -267,12 +304,21 @@ def _labelled(shared: DataFrame, joined: DataFrame) -> DataFrame:
     return labelled.join(split, "shingle")
 
 
-def _across(open_: DataFrame, how: Similarity) -> DataFrame:
-    """All pairs of different components that share a shingle and have sizes that a link allows."""
-    left, right = (open_.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "root")]) for side in "uv")
+def _across(open_: DataFrame, nodes: DataFrame, how: Similarity) -> DataFrame:
+    """All pairs of different components that share a shingle and have sizes, places and sketches that a link allows."""
+    columns = ("node", "n", "rest", "root", "even", "odd")
+    drawn = open_.join(_sketches(nodes), "node")
+    left, right = (drawn.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in columns]) for side in "uv")
+    differing = sum(F.bit_count(F.col(f"{c}_u").bitwiseXOR(F.col(f"{c}_v"))) for c in ("even", "odd"))
+    possible = (
+        (F.col("node_u") < F.col("node_v"))
+        & (F.col("root_u") != F.col("root_v"))
+        & _reach("n_u", "rest_u", "n_v", "rest_v", how)
+        & _few(differing, F.col("n_u") + F.col("n_v"), how)
+    )
+    # One condition of the join, so that a pair which fails it is never a row.
     return (
-        left.join(right, "shingle")
-        .filter((F.col("node_u") < F.col("node_v")) & (F.col("root_u") != F.col("root_v")) & _sizes_fit("n_u", "n_v", how))
+        left.join(right, (left["shingle"] == right["shingle"]) & possible)
         .select(F.col("node_u").alias("u"), F.col("node_v").alias("v"))
         .distinct()
     )
@@ -295,7 +341,9 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
         )
     )
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    postings = nodes.select("node", "n", F.explode("prefix").alias("shingle"))
+    postings = nodes.select("node", "n", F.posexplode("prefix").alias("at", "shingle")).select(
+        "node", "n", (F.col("n") - F.col("at")).alias("rest"), "shingle"
+    )
     several = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("shingle")
     shared = stage(postings.join(several, "shingle"), "shared")
     all_nodes = nodes.select("class", "node")
@@ -307,11 +355,11 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
         if open_.isEmpty():
             break
         leaders = open_.groupBy("shingle").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "root")).alias("leader")
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "rest", "root")).alias("leader")
         )
         pairs = (
             open_.join(leaders, "shingle")
-            .filter((F.col("root") != F.col("leader.root")) & _sizes_fit("n", "leader.n", how))
+            .filter((F.col("root") != F.col("leader.root")) & _reach("n", "rest", "leader.n", "leader.rest", how))
             .select(F.col("leader.node").alias("u"), F.col("node").alias("v"))
             .distinct()
         )
@@ -319,7 +367,7 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
         if links.isEmpty():
             break
         joined = stars(joined.union(links))
-    across = _across(stage(_labelled(shared, joined), "open"), how)
+    across = _across(stage(_labelled(shared, joined), "open"), nodes, how)
     links = stage(_links(docs, across, nodes, how, frequent), "links")
     if not links.isEmpty():
         joined = stars(joined.union(links))
