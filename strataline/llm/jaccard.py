@@ -45,7 +45,7 @@ MAX_FREQUENT = 500_000
 # Bits of the filter that keeps sets without candidates out of the shuffle; a full filter keeps none out.
 FILTER_BITS = 1 << 26
 RARE_FRAGMENTS = 4
-LEADER_ROUNDS = 6
+LEADER_ROUNDS = 2
 # Least number of 64-bit words of a set's parity signature; it doubles until there are two bits for each shingle.
 SIGNATURE_WORDS = 8
 
