@@ -10,7 +10,7 @@ import pytest
 from strataline.operators.quality import QualityError
 from strataline.plans.gold import club_performance, player_performance, valuation_trend
 from strataline.plans.silver import SILVER_TABLES, snapshot_day
-from strataline.plans.snapshots import OutOfOrderError, pending, run_incremental
+from strataline.plans.snapshots import OutOfOrderError, pending, run_incremental, run_snapshot
 from strataline.settings import Settings
 from strataline.sources.store import LayerStore
 from tests.conftest import write_table
@@ -193,3 +193,11 @@ def test_quoted_and_missing_values_survive_the_job(spark, tmp_path):
     assert store.read("gold", "gold_club_performance", run).first().club_name == 'The "Reds", FC'
     assert store.read("silver", "dim_players", run).first().name is None
     assert store.read("gold", "gold_player_performance", run).count() == 0
+
+
+def test_older_snapshot_is_refused_whoever_calls(spark, feed, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"))
+    store.publish("week1", "r1", "other content", "2024-03-02", {})
+    store.publish("week2", "r2", "whatever", "2024-09-01", {})
+    with pytest.raises(OutOfOrderError):
+        run_snapshot(store, "week1", feed["week1"], Settings(), content_hash="changed")
