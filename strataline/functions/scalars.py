@@ -92,3 +92,10 @@ def calendar_columns(day: Column | str, start_month: int = 8) -> list[Column]:
         F.date_format(d, "EEEE").alias("day_of_week"),
         season_of(d, start_month).alias("season"),
     ]
+
+
+def row_in_task() -> Column:
+    """Position of a row in its task, from 0. Beyond 2^33 rows the task fails, as numbers would repeat."""
+    marked = F.monotonically_increasing_id()
+    wrapped = F.raise_error(F.lit("a task has more than 2^33 rows; use smaller partitions")).cast("bigint")
+    return F.when(F.shiftright(marked, 33) == F.spark_partition_id(), marked.bitwiseAND(F.lit((1 << 33) - 1))).otherwise(wrapped)

@@ -7,11 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataline.functions.scalars import row_in_task
 from strataline.session import stage
 
-_ROW_BITS = (1 << 33) - 1
-
-
 def dense_ids(df: DataFrame, order: Sequence[str | Column], id_column: str, start: int = 0) -> DataFrame:
     """Number the rows ``start+1 .. start+n`` in ``order``, which must be a total order.
 
@@ -24,7 +22,7 @@ def dense_ids(df: DataFrame, order: Sequence[str | Column], id_column: str, star
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)))
+        .withColumn("_pos", row_in_task())
     )
     placed = stage(ranged, "ordered")
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

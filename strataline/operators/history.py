@@ -31,7 +31,7 @@ def interval_history(
     """
     ordered = dense_ids(points.filter(F.col(key).isNotNull()), [key, date, *ties], sk)
     following = blocked_window(
-        ordered, [key], sk, lambda w: {"_next": F.lead(date).over(w)}, following=1, block_rows=block_rows
+        ordered, [key], sk, lambda w, _: {"_next": F.lead(date).over(w)}, following=1, block_rows=block_rows
     )
     return following.select(
         F.col(sk),

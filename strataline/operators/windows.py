@@ -1,4 +1,4 @@
-"""Row-offset windows whose groups stay bounded when one key holds much of the table."""
+"""Row-offset windows whose groups stay bounded however many rows a key has."""
 
 from __future__ import annotations
 
@@ -8,20 +8,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from strataline.operators.dense import dense_ids
-from strataline.session import stage
 
-# Rows of one key that a single task may sort.
-HOT_ROWS = 1_000_000
-# Rows per block once a key is split.
+# Rows a group is cut to.
 BLOCK_ROWS = 1 << 16
-# Hot keys that are broadcast; more are joined by shuffle.
-BROADCAST_KEYS = 100_000
 
-Compute = Callable[[WindowSpec], dict[str, Column]]
-
-
-def _apply(df: DataFrame, spec: WindowSpec, compute: Compute) -> DataFrame:
-    return df.select("*", *[c.alias(name) for name, c in compute(spec).items()])
+# Expressions over two windows: the ordered rows of a key, for offsets, and the declared frame, for aggregates.
+Compute = Callable[[WindowSpec, WindowSpec], dict[str, Column]]
 
 
 def blocked_window(
@@ -37,9 +29,15 @@ def blocked_window(
 
     ``position`` numbers all rows 1..n in (partition, order) order. Rows are grouped by block of
     positions instead of by key; the ``preceding`` last and ``following`` first rows of a block are
-    copied to its neighbour as context and dropped again, so every frame that reaches at most that
-    far is complete, and no group exceeds one block plus its context.
+    copied to its neighbour as context and dropped again, so no group exceeds one block plus its
+    context.
+
+    ``compute`` takes the ordered window of a key and the frame of ``preceding`` to ``following``
+    rows. Aggregates use the frame, which is made here, so it cannot reach beyond the copied rows;
+    ``lag`` and ``lead`` take no frame, use the first, and must not reach farther than declared.
     """
+    if preceding < 0 or following < 0:
+        raise ValueError("a frame reaches zero or more rows back and ahead")
     if preceding + following >= block_rows:
         raise ValueError("a block must be larger than the frame")
     home = F.expr(f"(`{position}` - 1) div {block_rows}")
@@ -50,8 +48,9 @@ def blocked_window(
     if following:
         copies.append(F.when((offset < following) & (home > 0), home - 1))
     placed = df.withColumn("_block", home if len(copies) == 1 else F.explode(F.array_compact(F.array(*copies))))
-    spec = Window.partitionBy("_block", *partition_by).orderBy(position)
-    return _apply(placed, spec, compute).filter(F.col("_block") == home).drop("_block")
+    ordered = Window.partitionBy("_block", *partition_by).orderBy(position)
+    columns = compute(ordered, ordered.rowsBetween(-preceding, following))
+    return placed.select("*", *[c.alias(name) for name, c in columns.items()]).filter(F.col("_block") == home).drop("_block")
 
 
 def offset_window(
@@ -61,31 +60,12 @@ def offset_window(
     compute: Compute,
     preceding: int = 0,
     following: int = 0,
-    hot_rows: int = HOT_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Add the window expressions of ``compute``; frames reach at most the given rows away.
 
-    ``order_by`` must be a total order within a partition. Key sizes are counted first (one
-    aggregation over the key columns). Keys up to ``hot_rows`` use an ordinary window; larger ones
-    are numbered and evaluated in blocks, so no task has to sort a whole hot key.
+    ``order_by`` must be a total order within a partition. All rows are numbered in that order and
+    evaluated in blocks, so one way serves keys of every size.
     """
-    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-    n_hot = sizes.agg(F.count_if(F.col("_rows") > hot_rows)).first()[0]
-    plain = Window.partitionBy(*partition_by).orderBy(*order_by)
-    if n_hot == 0:
-        return _apply(df, plain, compute)
-
-    hot = stage(
-        sizes.filter(F.col("_rows") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in partition_by]), "hot"
-    )
-    if n_hot <= BROADCAST_KEYS:
-        hot = F.broadcast(hot)
-    is_hot = None
-    for k in partition_by:
-        term = df[k].eqNullSafe(hot[f"_hot_{k}"])
-        is_hot = term if is_hot is None else is_hot & term
-    cold_rows = df.join(hot, is_hot, "left_anti")
-    hot_part = dense_ids(df.join(hot, is_hot, "left_semi"), [*partition_by, *order_by], "_position")
-    blocks = blocked_window(hot_part, partition_by, "_position", compute, preceding, following, block_rows)
-    return _apply(cold_rows, plain, compute).unionByName(blocks.drop("_position"))
+    numbered = dense_ids(df, [*partition_by, *order_by], "_position")
+    return blocked_window(numbered, partition_by, "_position", compute, preceding, following, block_rows).drop("_position")

@@ -115,9 +115,9 @@ def side_performance(perspectives: DataFrame, names: DataFrame, *, key: str, nam
     return named.select(key, "season", F.coalesce("_name", "_recorded").alias(name), *measures)
 
 
-def rolling_mean(value: str, rows: int):
-    """Mean of the last ``rows`` rows up to this one, nulls skipped, rounded half-even."""
-    return lambda w: {"_rolling": half_even(F.avg(value).over(w.rowsBetween(-(rows - 1), 0)))}
+def rolling_mean(value: str):
+    """Mean of the rows of a frame, nulls skipped, rounded half-even."""
+    return lambda _, frame: {"_rolling": half_even(F.avg(value).over(frame))}
 
 
 def valuation_trend(dim_player_valuations: DataFrame, rolling_window: int = 3, numbered: bool = False) -> DataFrame:
@@ -128,7 +128,7 @@ def valuation_trend(dim_player_valuations: DataFrame, rolling_window: int = 3, n
     """
     value, span = "market_value_in_eur", rolling_window - 1
     rows = dim_player_valuations.withColumn("valuation_date", to_day("valuation_date"))
-    compute = rolling_mean(value, rolling_window)
+    compute = rolling_mean(value)
     if numbered:
         rolled = blocked_window(rows, ["player_id"], "valuation_sk", compute, preceding=span)
     else:

@@ -36,7 +36,7 @@ from strataline.plans.snapshots import pending
 from strataline.schemas import TableSpec
 from strataline.session import scratch_path
 from strataline.settings import AtLeast, NotNull, QualityRules, References, Unique
-from strataline.sources.fingerprint import file_fingerprints, table_digests
+from strataline.sources.fingerprint import table_digests
 from strataline.workload.feed import ingest_customers, replay_feed
 from strataline.workload.tables import POINT, cents, load, price_points
 
@@ -84,12 +84,13 @@ def season_performance(spark: SparkSession, sf: str) -> DataFrame:
 def two_sided_results(spark: SparkSession, sf: str) -> DataFrame:
     """Each line as a contest of the supplier's nation (quantity) and the customer's (discount points).
 
-    Nations of one region have no known name and take the first recorded one.
+    Seventh lines name unknown nations on the supplier's side, which take the first recorded name.
     """
     customer, supplier = load(spark, sf, "customer"), load(spark, sf, "supplier")
     lines = load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("game_id"),
         "l_suppkey",
+        "l_linenumber",
         season_of(to_day("l_shipdate")).alias("season"),
         F.col("l_quantity").cast("bigint").alias("score_a"),
         F.round(F.col("l_discount") * 500).cast("bigint").alias("score_b"),
@@ -97,8 +98,9 @@ def two_sided_results(spark: SparkSession, sf: str) -> DataFrame:
     games = lookup(lines, load(spark, sf, "orders"), {"game_id": "o_orderkey"}, {"custkey": "o_custkey"})
     games = lookup(games, customer, {"custkey": "c_custkey"}, {"nation_b": "c_nationkey", "name_b": "c_name"})
     games = lookup(games, supplier, {"l_suppkey": "s_suppkey"}, {"nation_a": "s_nationkey", "name_a": "s_name"})
+    unknown = F.when(F.col("l_linenumber") == 7, F.col("nation_a") + 100).otherwise(F.col("nation_a"))
     contests = games.select(
-        "game_id", "season", "nation_a", "nation_b", "name_a", "name_b", "score_a", "score_b",
+        "game_id", "season", unknown.alias("nation_a"), "nation_b", "name_a", "name_b", "score_a", "score_b",
         F.col("score_a").alias("against_b"), F.col("score_b").alias("against_a"),
         outcome("score_a", "score_b").alias("result_a"), outcome("score_b", "score_a").alias("result_b"),
     )
@@ -110,12 +112,9 @@ def two_sided_results(spark: SparkSession, sf: str) -> DataFrame:
         for x in ("a", "b")
     ]
     perspectives = two_sided(contests, sides).dropna(subset=["nation", "season"])
-    named = load(spark, sf, "nation").join(
-        load(spark, sf, "region").filter("r_name <> 'ASIA'"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
     return side_performance(
         perspectives,
-        named.select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name")),
+        load(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name")),
         key="nation",
         name="nation_name",
     )
@@ -132,7 +131,7 @@ def rolling_trend(spark: SparkSession, sf: str) -> DataFrame:
         cents("l_extendedprice").alias("price"),
     )
     order = ["ship_day", "l_orderkey", "l_linenumber", "l_suppkey", "price"]
-    return offset_window(points, ["l_partkey"], order, rolling_mean("price", 3), preceding=2).withColumnRenamed(
+    return offset_window(points, ["l_partkey"], order, rolling_mean("price"), preceding=2).withColumnRenamed(
         "_rolling", "rolling_price"
     )
 
@@ -240,20 +239,20 @@ def scd1_merge(spark: SparkSession, sf: str) -> DataFrame:
     known = merge_type1(
         None, _customer_totals(orders.filter(before("o_orderdate", "1995-07-01"))), key="o_custkey", sk="customer_sk"
     )
-    arriving = _customer_totals(orders.filter(since("o_orderdate", "1996-01-01")))
+    arriving = _customer_totals(orders.filter(since("o_orderdate", "1995-07-01")))
     return merge_type1(known, arriving, key="o_custkey", sk="customer_sk")
 
 
 def fact_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with the surrogate keys of day, nation and region; one region is missing from its dimension."""
+    """Orders with the surrogate keys of day, nation and region; orders of low priority name an unknown nation."""
     orders, customer = load(spark, sf, "orders"), load(spark, sf, "customer")
     nations = merge_type1(None, load(spark, sf, "nation"), key="n_nationkey", sk="nation_sk")
-    regions = load(spark, sf, "region").filter("r_name <> 'EUROPE'")
-    regions = merge_type1(None, regions, key="r_regionkey", sk="region_sk")
+    regions = merge_type1(None, load(spark, sf, "region"), key="r_regionkey", sk="region_sk")
     calendar = build_dim_date([(orders, ["o_orderdate"])])
-    keyed = orders.select("o_orderkey", "o_custkey", to_day("o_orderdate").alias("order_day"))
+    keyed = orders.select("o_orderkey", "o_custkey", "o_orderpriority", to_day("o_orderdate").alias("order_day"))
     keyed = lookup(keyed, calendar, {"order_day": "full_date"}, {"date_sk": "date_sk"}, bounded=True)
     keyed = lookup(keyed, customer, {"o_custkey": "c_custkey"}, {"nation": "c_nationkey"})
+    keyed = keyed.withColumn("nation", F.when(F.col("o_orderpriority") == "5-LOW", -1).otherwise(F.col("nation")))
     keyed = lookup(
         keyed, nations, {"nation": "n_nationkey"}, {"nation_sk": "nation_sk", "region": "n_regionkey"}
     )
@@ -486,11 +485,18 @@ def pending_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
-    """Fingerprints of orders and documents written as files; digests need not match another engine."""
+    """Fingerprints of orders and documents written as raw files in the order of their ids, in several parts."""
     root = scratch_path(spark, "fingerprint")
-    load(spark, sf, "orders").write.option("header", True).csv(f"{root}/orders.csv")
-    load(spark, sf, "documents").write.option("header", True).option("escape", '"').csv(f"{root}/documents.csv")
-    return table_digests(file_fingerprints(spark, {t: f"{root}/{t}.csv" for t in ("orders", "documents", "absent")}))
+    orders = load(spark, sf, "orders").select(
+        F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus", cents("o_totalprice"), iso_day("o_orderdate")).alias("line")
+    )
+    text = F.translate(F.coalesce("text", F.lit("")), "\r\n", "  ")
+    documents = load(spark, sf, "documents").select(F.concat_ws("|", "doc_id", text).alias("line"))
+    for name, lines in (("orders", orders), ("documents", documents)):
+        # Without quotes a line is written as it is.
+        written = lines.repartitionByRange(4, "line").sortWithinPartitions("line").write.option("header", True)
+        written.options(quote="", sep="\x01", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{name}.csv")
+    return table_digests(spark, {t: f"{root}/{t}.csv" for t in ("orders", "documents", "absent")})
 
 
 QUERIES: dict[str, Query] = {

@@ -58,9 +58,18 @@ def test_country_iso_aliases_names_and_codes(make):
 
 
 def test_country_register_can_be_replaced(make):
-    register = make("country_text string, iso string", ("atlantis", "AX"))
+    register = make("country_text string, iso string", ("atlantis", "AX"), ("atlantis", "AY"))
     df = make("c string", ("Atlantis",))
-    assert with_country_iso(df, {"iso": "c"}, register).first().iso == "AX"
+    assert [r.iso for r in with_country_iso(df, {"iso": "c"}, register).collect()] == ["AX"]
+
+
+def test_official_country_names(make):
+    names = {"Russian Federation": "RU", "Korea, Republic of": "KR", "Iran, Islamic Republic of": "IR", "Viet Nam": "VN",
+             "Türkiye": "TR", "Cabo Verde": "CV", "Moldova, Republic of": "MD", "Tanzania, United Republic of": "TZ",
+             "Bolivia, Plurinational State of": "BO", "Venezuela, Bolivarian Republic of": "VE",
+             "Congo, The Democratic Republic of the": "CD", "Cote d'Ivoire": "CI", "Curacao": "CW"}
+    df = make("c string", *[(n,) for n in names])
+    assert {r.c: r.iso for r in with_country_iso(df, {"iso": "c"}).collect()} == names
 
 
 def test_na_tokens_become_null(make):

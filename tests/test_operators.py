@@ -46,26 +46,26 @@ def test_dense_ids_equal_a_global_row_number(spark, rows):
     assert rows(got, "g", "id", "n") == rows(want, "g", "id", "n")
 
 
-@pytest.mark.parametrize("hot_rows", [10, 10_000])
-def test_offset_window_is_the_same_for_hot_keys(spark, rows, hot_rows):
+@pytest.mark.parametrize("block_rows", [16, 100_000])
+def test_offset_window_equals_a_plain_window(spark, rows, block_rows):
     df = spark.range(900).select(
         F.when(F.col("id") < 400, None).when(F.col("id") < 860, 1).otherwise(F.col("id") % 7).alias("k"),
         F.col("id").alias("o"),
         F.pmod(F.hash("id"), F.lit(1000)).cast("bigint").alias("v"),
     )
 
-    def both(w):
-        return {"m": F.avg("v").over(w.rowsBetween(-2, 0)), "next": F.lead("v").over(w)}
+    def both(w, frame):
+        return {"m": F.avg("v").over(frame), "next": F.lead("v").over(w)}
 
-    got = offset_window(df, ["k"], ["o"], both, preceding=2, following=1, hot_rows=hot_rows, block_rows=16)
+    got = offset_window(df, ["k"], ["o"], both, preceding=2, following=1, block_rows=block_rows)
     w = Window.partitionBy("k").orderBy("o")
-    want = df.select("*", *[c.alias(n) for n, c in both(w).items()])
+    want = df.select("*", *[c.alias(n) for n, c in both(w, w.rowsBetween(-2, 1)).items()])
     assert rows(got, "k", "o", "v", "m", "next") == rows(want, "k", "o", "v", "m", "next")
 
 
 def test_blocked_window_needs_room_for_the_frame(make):
     with pytest.raises(ValueError):
-        blocked_window(make("k int, p long", (1, 1)), ["k"], "p", lambda w: {}, preceding=4, block_rows=4)
+        blocked_window(make("k int, p long", (1, 1)), ["k"], "p", lambda w, _: {}, preceding=4, block_rows=4)
 
 
 def test_lookup_never_multiplies_rows(make, rows):
@@ -201,7 +201,8 @@ def test_rolling_mean_rounds_half_even_and_skips_nulls(make):
     for numbered in (False, True):
         got = valuation_trend(df, 3, numbered).orderBy("valuation_date").collect()
         assert [r.rolling_average_market_value for r in got] == [110, 112, 112, 119, 126]
-    assert "_rolling" in rolling_mean("x", 2)(Window.partitionBy("k").orderBy("o"))
+    ordered = Window.partitionBy("k").orderBy("o")
+    assert "_rolling" in rolling_mean("x")(ordered, ordered.rowsBetween(-1, 0))
 
 
 def test_conform_reports_drift_and_defaults(make):

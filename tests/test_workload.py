@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from strataline.workload.oracle import ORACLE_SQL
+from strataline.workload.queries import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -38,14 +40,8 @@ def test_query_matches_sql(spark, duck, name):
     assert got
 
 
-def test_only_file_hashes_lack_sql():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"source_fingerprint"}
-
-
-def test_fingerprint_query_is_stable(spark):
-    query = entry.queries()["source_fingerprint"]
-    first = sorted(query(spark, SF_DIR).select("table_name", "lines").collect())
-    assert [r.table_name for r in first] == ["documents", "orders"]
+def test_every_query_of_the_library_has_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
 def test_entry_runs(spark):
