@@ -133,6 +133,18 @@ def test_unchanged_feed_is_skipped_and_force_rebuilds(done, feed, rows, spark, t
         assert rows(store.read(layer, table, new)) == rows(store.read(layer, table, run))
 
 
+def test_failed_rebuild_leaves_the_published_run(done, feed, tmp_path):
+    store, _, _ = done
+    before = store.last_run()
+    bad = tmp_path / "week2"
+    shutil.copytree(feed["week2"], bad)
+    lines = (bad / "appearances.csv").read_text().splitlines()
+    (bad / "appearances.csv").write_text("\n".join(line.replace(",90", ",-90") for line in lines) + "\n")
+    with pytest.raises(QualityError):
+        run_incremental(store, {**feed, "week2": str(bad)}, force=True)
+    assert store.last_run() == before
+
+
 def test_failed_checks_publish_nothing(spark, feed, tmp_path):
     bad = tmp_path / "week1"
     shutil.copytree(feed["week1"], bad)
