@@ -10,10 +10,10 @@ shingle bounds what they can share, and parities of shingles by hash bits bound
 few candidates to count. A candidate's overlap is counted fragment by fragment: sets are cut at the same
 points of the order, equal fragments of a pair meet, and the partial overlaps are summed per pair.
 
-Copies of one text by the thousand would give pairs by the million. Therefore each shared shingle first pairs its
-documents with one leader only, and the links found are contracted to components. Such rounds, each with
-other leaders, go on while they find links and leave few shingles whose documents lie in different components; for
-those every pair across components is counted. Pairs within a component need no count, as they change no component. No link between
+Copies of one text by the thousand would give pairs by the million. Therefore each shared shingle first pairs those
+of its documents whose sets have the same least hash with one leader only, and the links found are contracted to
+components. A second round does so by the greatest hash. They leave few shingles whose similar documents lie in
+different components; for those every pair across components is counted. Pairs within a component need no count, as they change no component. No link between
 components is lost, and nothing is capped.
 
 Defined cases: null text and text without words have an empty set, link with nothing and are their own component;
@@ -48,6 +48,7 @@ RARE_FRAGMENTS = 4
 LEADER_ROUNDS = 2
 # Least number of 64-bit words of a set's parity signature; it doubles until there are two bits for each shingle.
 SIGNATURE_WORDS = 8
+MARK_BITS = 15
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -98,6 +99,11 @@ def _signature(found: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
+def _mark(found: np.ndarray) -> int:
+    """Bits of the least and of the greatest hash of a set, which similar sets mostly have in common."""
+    return int(found[0]) % (1 << MARK_BITS) | int(found[-1]) % (1 << MARK_BITS) << MARK_BITS
+
+
 def _read(docs: DataFrame, words: int, id_col: str) -> DataFrame:
     """Id, class and size of every document; and, as rows without class, counts of shingles seen more than once."""
 
@@ -162,12 +168,12 @@ def _prefixes(docs: DataFrame, how: Similarity, frequent: Broadcast) -> DataFram
             if len(found):
                 place = _places(found, frequent.value)
                 ordered = np.concatenate([found[place == 0], found[place > 0][np.argsort(place[place > 0], kind="stable")]])
-                yield _class(found), key, len(found), _signature(found), _signed(ordered[: how.prefix(len(found))])
+                yield _class(found), key, len(found), _mark(found), _signature(found), _signed(ordered[: how.prefix(len(found))])
 
     return map_rows(
         docs.select("text", _text_key().alias("key")),
         run,
-        "class binary, key long, n long, signature array<long>, prefix array<long>",
+        "class binary, key long, n long, mark int, signature array<long>, prefix array<long>",
         batch_rows=20_000,
     )
 
@@ -294,7 +300,7 @@ def _sketches(nodes: DataFrame) -> DataFrame:
 def _labelled(shared: DataFrame, joined: DataFrame) -> DataFrame:
     """Shared shingles whose documents lie in different components, with the component ``root`` of each."""
     root = F.coalesce("v", "node")
-    labelled = shared.join(joined, F.col("node") == F.col("u"), "left").select("shingle", "node", "n", "rest", root.alias("root"))
+    labelled = shared.join(joined, F.col("node") == F.col("u"), "left").select("shingle", "node", "n", "mark", "rest", root.alias("root"))
     split = (
         labelled.groupBy("shingle")
         .agg(F.min("root").alias("low"), F.max("root").alias("high"))
@@ -336,13 +342,14 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
         .agg(
             F.min("key").alias("key"),
             F.first("n").alias("n"),
+            F.first("mark").alias("mark"),
             F.first("signature").alias("signature"),
             F.first("prefix").alias("prefix"),
         )
     )
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    postings = nodes.select("node", "n", F.posexplode("prefix").alias("at", "shingle")).select(
-        "node", "n", (F.col("n") - F.col("at")).alias("rest"), "shingle"
+    postings = nodes.select("node", "n", "mark", F.posexplode("prefix").alias("at", "shingle")).select(
+        "node", "n", "mark", (F.col("n") - F.col("at")).alias("rest"), "shingle"
     )
     several = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("docs")).filter("docs > 1").select("shingle")
     shared = stage(postings.join(several, "shingle"), "shared")
@@ -354,18 +361,20 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
         open_ = stage(_labelled(shared, joined), "open")
         if open_.isEmpty():
             break
-        leaders = open_.groupBy("shingle").agg(
+        # Documents that share a shingle by chance mostly differ in this, so a leader is one of its like.
+        open_ = open_.withColumn("kind", F.shiftright("mark", MARK_BITS * turn).bitwiseAND(F.lit((1 << MARK_BITS) - 1)))
+        leaders = open_.groupBy("shingle", "kind").agg(
             F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "rest", "root")).alias("leader")
         )
         pairs = (
-            open_.join(leaders, "shingle")
+            open_.join(leaders, ["shingle", "kind"])
             .filter((F.col("root") != F.col("leader.root")) & _reach("n", "rest", "leader.n", "leader.rest", how))
             .select(F.col("leader.node").alias("u"), F.col("node").alias("v"))
             .distinct()
         )
         links = stage(_links(docs, pairs, nodes, how, frequent), "links")
         if links.isEmpty():
-            break
+            continue
         joined = stars(joined.union(links))
     across = _across(stage(_labelled(shared, joined), "open"), nodes, how)
     links = stage(_links(docs, across, nodes, how, frequent), "links")
