@@ -163,6 +163,24 @@ def test_secrets(spark, odd):
     assert secret_scan.scan(odd).count() == 6 and secret_scan.scan(odd.limit(0)).count() == 0
 
 
+BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+
+
+def drawn(rng, symbols: str, n: int) -> str:
+    return "".join(rng.choice(list(symbols), n))
+
+
+def judged(text: str) -> set[str]:
+    return {text[c[0] : c[1]] for c in secret_scan.candidates(text)}
+
+
+def test_secrets_after_equals_signs():
+    key = drawn(np.random.default_rng(3), BASE64, 40)
+    assert judged(f"access_key={key}") >= {key} and judged(f"u?sig={key}&x=1") >= {key} and judged(f"a == {key}=") >= {f"{key}="}
+    assert judged(f"x={key}== y") >= {f"{key}=="} and judged(f"{key}={key[::-1]}") >= {key, key[::-1]}
+    assert judged(f"{key}===") >= {key}
+
+
 def test_packing(docs, odd):
     from tokenizers import Tokenizer
 
