@@ -181,6 +181,21 @@ def test_secrets_after_equals_signs():
     assert judged(f"{key}===") >= {key}
 
 
+def test_secrets_of_any_alphabet_are_judged():
+    rng = np.random.default_rng(4)
+    letters, lower, key = drawn(rng, BASE64[:52], 40), drawn(rng, BASE64[26:52], 40), drawn(rng, BASE64[:62], 40)
+    mixed = drawn(rng, BASE64 + "-_", 17) + "+_-"
+    for token in (letters, lower, lower.upper(), key, mixed):
+        assert judged(f"x {token} y") == judged(token) >= {token}
+    assert judged(f"a/b_c/{key}") >= {key} and judged(f"sk_live-{key}") >= {key} and judged(f"a_b/{key}==") >= {f"{key}=="}
+    assert judged(f"a_b-{key[:15]}/{key[15:]}") >= {f"{key[:15]}/{key[15:]}"}
+    for name, symbols in secret_scan.ALPHABETS.items():
+        p = [secret_scan.randomness_p(drawn(rng, symbols, n), name) for n in (20, 40, 64) for _ in range(200)]
+        assert np.mean(np.array(p) < 0.05) < 0.09, name
+    prose = ["internationalization", "keitlichenlichkeitbe", "onthtionwhonattionnd", "INCOMPREHENSIBILITIES", "SOME_LONG_CONSTANT_NAME_IN_CODE"]
+    assert all(secret_scan.randomness_p(w, secret_scan.encoding_of(w)) < 0.05 for w in prose)
+
+
 def test_packing(docs, odd):
     from tokenizers import Tokenizer
 
