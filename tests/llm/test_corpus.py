@@ -196,6 +196,26 @@ def test_secrets_of_any_alphabet_are_judged():
     assert all(secret_scan.randomness_p(w, secret_scan.encoding_of(w)) < 0.05 for w in prose)
 
 
+def test_secrets_do_not_depend_on_the_corpus(spark):
+    rng = np.random.default_rng(6)
+    keys = [drawn(rng, BASE64, 40) for _ in range(60)]
+    found = {}
+    for n, words in ((1, 0), (1, 25), (10, 25), (30, 0), (60, 100)):
+        texts = [*keys[:n], *[f"Some{'Long'}Word{'e' * (i % 3)}And{i}MoreOfThemInOneName" for i in range(words)]]
+        table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        rows = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in secret_scan.scan(table).collect()}
+        assert not any(rows[i] for i in range(n, n + words))
+        for i in range(n):
+            assert found.setdefault(i, rows[i]) == rows[i]
+    assert sum(("random", 0, 40) in s for s in found.values()) >= 0.85 * 60
+    share = {r["encoding"]: r for r in secret_scan.false_shares(table).collect()}["base64"]
+    assert share["candidates"] >= 30 and abs(share["false_share"]) <= 4 * share["std_error"]
+    slash, path = f"{keys[0][:20]}/{keys[0][20:]}", f"some/path_of/{keys[1][:30].replace('/', 'x')}"
+    for text in (slash, path):
+        spans = secret_scan.random_spans(text, [], secret_scan.MISS_RATE)
+        assert not any(a != b and a[1] <= b[1] and b[2] <= a[2] for a in spans for b in spans)
+
+
 def test_packing(docs, odd):
     from tokenizers import Tokenizer
 
