@@ -39,10 +39,17 @@ CONTEXT = {
 # Words that speak against a span, whatever its kind.
 AGAINST = ("example", "version", "isbn", "order", "invoice", "serial")
 
-# Account number lengths of the IBAN registry, for the countries that are recognised.
+# Account number lengths of the IBAN registry, for all its countries.
 IBAN_LENGTH = {
-    "AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27,
-    "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "TR": 26,
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29,
+    "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29,
+    "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28,
+    "HN": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20,
+    "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19,
+    "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24,
+    "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+    "YE": 30,
 }
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -51,7 +58,8 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+_IBAN_BODY = re.compile(r"(?: ?[A-Z0-9]){1,29}")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _WORD = re.compile(r"\w+")
@@ -112,19 +120,27 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", *m.span()
 
 
+def _account_end(text: str, start: int) -> int | None:
+    """The end of the account number that starts here, where its country and its checksum confirm it."""
+    want = IBAN_LENGTH.get(text[start : start + 2])
+    if not want or not (body := _IBAN_BODY.match(text, start + 4)):
+        return None
+    compact, end = "", start
+    for c in text[start : body.end()]:
+        if len(compact) == want:
+            break
+        end += 1
+        compact += c.strip()
+    return end if len(compact) == want and mod97(compact) else None
+
+
 def _proposed(text: str) -> Iterator[tuple[str, int, int, bool]]:
     """Spans of the scored kinds, and whether a checksum confirmed them."""
     if not _DIGIT.search(text):
         return
+    # Numbers that overlap all stay, as a token before the number can pass with its first digits by chance.
     for m in _IBAN.finditer(text):
-        want = IBAN_LENGTH.get(m[0][:2])
-        compact, end = "", m.start()
-        for c in m[0]:
-            if len(compact) == want:
-                break
-            end += 1
-            compact += c.strip()
-        if len(compact) == want and mod97(compact):
+        if end := _account_end(text, m.start()):
             yield "iban", m.start(), end, True
     for m in _SSN.finditer(text):
         if m[0][:3] not in ("000", "666") and m[0][0] != "9" and m[0][4:6] != "00" and m[0][7:] != "0000":
@@ -143,13 +159,17 @@ def _score(text: str, kind: str, start: int, end: int, checked: bool) -> float:
 
 
 def spans_of(text: str | None) -> list[Span]:
-    """All spans of one text, by kind as listed, then start. Scored kinds never overlap a base span."""
+    """All spans of one text, by kind as listed, then start.
+
+    Scored kinds without a checksum never overlap a base span. A confirmed account number stands beside one, as its
+    digits can pass as a card by chance.
+    """
     if not text:
         return []
     found = [Span(k, a, b, _score(text, k, a, b, True)) for k, a, b in _confirmed(text)]
     base = list(found)
     for kind, a, b, checked in _proposed(text):
-        if any(a < s.end and s.start < b for s in base):
+        if not checked and any(a < s.end and s.start < b for s in base):
             continue
         if (score := _score(text, kind, a, b, checked)) >= THRESHOLD:
             found.append(Span(kind, a, b, score))

@@ -152,6 +152,30 @@ def test_personal_data(docs, odd):
     assert pii.redact(odd).columns == odd.columns and pii.detect(odd).count() == 6
 
 
+def account(rng, country: str) -> str:
+    body = drawn(rng, "0123456789", pii.IBAN_LENGTH[country] - 4)
+    rest = int("".join(str(int(c, 36)) for c in f"{body}{country}00")) % 97
+    return f"{country}{98 - rest:02d}{body}"
+
+
+def test_account_numbers_of_all_countries():
+    rng = np.random.default_rng(7)
+    known = "HR1210010051863000160 SK3112000000198742637541 BG80BNBG96611020345678 MT84MALT011000012345MTLCAST001S BR1800360305000010009795493C1 LC55HEMM000100010012001200023015 AE070331234567890123456 SA0380000000608010167519"
+    for number in [*known.split(), *(account(rng, c) for c in pii.IBAN_LENGTH for _ in range(40))]:
+        spaced = " ".join(number[i : i + 4] for i in range(0, len(number), 4))
+        for form in (number, spaced):
+            for before in ("pay ", "ID42 ", "AB12 CD34 ", "DE89 "):
+                text = f"{before}{form} now"
+                spans = pii.spans_of(text)
+                place = (len(before), len(before) + len(form))
+                assert place in [(s.start, s.end) for s in spans if s.kind == "iban"], text
+                assert number[-6:] not in pii.masked(text, spans).replace(" ", "")
+        assert not [s for s in pii.spans_of(f"pay {number[:-1]}{'1' if number[-1] == '0' else '0'}") if s.kind == "iban"]
+    # The digits of a confirmed number pass as a card by chance, and the card's span stays too.
+    chance = next(n for n in (account(rng, "BE") for _ in range(1000)) if pii.luhn(n[2:]))
+    assert [s.kind for s in pii.spans_of(chance)] == ["card", "iban"] and pii.masked(chance, pii.spans_of(chance)) == "<IBAN>"
+
+
 def test_secrets(spark, odd):
     rng = np.random.default_rng(2)
     key = "".join(rng.choice(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"), 64))
