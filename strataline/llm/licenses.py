@@ -13,14 +13,18 @@ rules that match at one place the first listed wins; an empty table gives an emp
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
+from strataline.llm import license_names
 from strataline.llm.common import map_rows
 
 MAX_GAP = 1
+# Identifiers of sentences that name a licence begin so; they are rules by themselves.
+NAME = "name:"
 
 # Sentences of public licences and of the notices that name them.
 SENTENCES = {
@@ -71,6 +75,50 @@ SENTENCES = {
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
         "granted, provided that the above copyright notice and this permission notice appear in all copies"
     ),
+    "isc-grant-and": (
+        "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies"
+    ),
+    "0bsd-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted"
+    ),
+    "bsl-grant": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit "
+        "third-parties to whom the Software is furnished to do so, all subject to the following"
+    ),
+    "zlib-grant": (
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and "
+        "to alter it and redistribute it freely, subject to the following restrictions"
+    ),
+    "unlicense-text": "This is free and unencumbered software released into the public domain",
+    "cc0-text": (
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring "
+        "rights to this software to the public domain worldwide"
+    ),
+    "gpl-title": "GNU GENERAL PUBLIC LICENSE",
+    "lgpl-title": "GNU LESSER GENERAL PUBLIC LICENSE",
+    "agpl-title": "GNU AFFERO GENERAL PUBLIC LICENSE",
+    "gnu-2-date": "Version 2, June 1991",
+    "gnu-2.1-date": "Version 2.1, February 1999",
+    "gnu-3-date": "Version 3, 29 June 2007",
+    "agpl-3-date": "Version 3, 19 November 2007",
+    "apache-title": "Apache License",
+    "apache2-date": "Version 2.0, January 2004",
+    "mpl2-title": "Mozilla Public License Version 2.0",
+    "mpl2-copy": (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/"
+    ),
+    "epl1-title": "Eclipse Public License - v 1.0",
+    "epl2-title": "Eclipse Public License - v 2.0",
+    "gnu-later-2": "either version 2 of the License, or (at your option) any later version",
+    "gnu-later-2.1": "either version 2.1 of the License, or (at your option) any later version",
+    "gnu-later-3": "either version 3 of the License, or (at your option) any later version",
+    "gnu-only-2": "version 2 of the License",
+    "gnu-only-2.1": "version 2.1 of the License",
+    "gnu-only-3": "version 3 of the License",
 }
 
 
@@ -97,20 +145,69 @@ RULES = (
     Rule("CC-BY-4.0", ("cc-by-4-name",)),
     Rule("CC0-1.0", ("cc0-name",)),
     Rule("ISC", ("isc-grant",)),
+    Rule("ISC", ("isc-grant-and",)),
+    Rule("0BSD", ("0bsd-grant",)),
+    Rule("BSL-1.0", ("bsl-grant",)),
+    Rule("Zlib", ("zlib-grant",)),
+    Rule("Unlicense", ("unlicense-text",)),
+    Rule("CC0-1.0", ("cc0-text",)),
+    Rule("GPL-2.0-only", ("gpl-title", "gnu-2-date")),
+    Rule("GPL-3.0-only", ("gpl-title", "gnu-3-date")),
+    Rule("LGPL-2.1-only", ("lgpl-title", "gnu-2.1-date")),
+    Rule("LGPL-3.0-only", ("lgpl-title", "gnu-3-date")),
+    Rule("AGPL-3.0-only", ("agpl-title", "agpl-3-date")),
+    Rule("Apache-2.0", ("apache-title", "apache2-date")),
+    Rule("MPL-2.0", (f"{NAME}MPL-2.0", "mpl2-copy")),
+    Rule("MPL-2.0", ("mpl2-title",)),
+    Rule("EPL-1.0", ("epl1-title",)),
+    Rule("EPL-2.0", ("epl2-title",)),
+    Rule("GPL-3.0-or-later", ("gpl3-terms",)),
+    Rule("MIT", ("mit-grant",)),
+    Rule("Apache-2.0", ("apache2-notice",)),
+    # Notices of the Free Software Foundation that a semicolon divides before the version.
+    *(
+        Rule(f"{family}-{version if '.' in version else version + '.0'}-{end}", (f"{NAME}{family}-unspecified", f"gnu-{word}-{version}"))
+        for family, versions in (("GPL", ("2", "3")), ("LGPL", ("2", "2.1", "3")), ("AGPL", ("3",)))
+        for version in versions
+        for word, end in (("later", "or-later"), ("only", "only"))
+    ),
 )
 
-_END = r"[.;:!?]+(?=\s|$)"
+# The point of "v. 2.0" ends no sentence.
+_END = r"(?<!\b[vV])[.;:!?]+(?=\s|$)"
 _IN_PARAGRAPH = re.compile(rf"{_END}|\n[^\S\n]*\n")
 _IN_LINE = re.compile(rf"{_END}|\n")
 _WORDS = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 _COPYRIGHT = re.compile(r"\s*(?:copyright\b|\(c\)\s*[0-9]{4}|©)", re.IGNORECASE)
-_MENTIONS = re.compile(r"licen[sc]|copyright|redistribut|permission|free software|©", re.IGNORECASE)
+_MENTIONS = re.compile(
+    r"licen[sc]|copyright|redistribut|permission|free software|©|public domain|"
+    r"(?:released|distributed|published|provided|available|offered|issued|shared|covered|governed|subject)\s+(?:under|by|to)\s",
+    re.IGNORECASE,
+)
+_TAG = re.compile(r"(?:SPDX-License-Identifier|^\W{0,8}Licen[sc]e)[^\S\n]*:[^\S\n]*([^\n]+)", re.IGNORECASE | re.MULTILINE)
+_LATER = re.compile(r"(?<=[0-9])\+")
+_ENDORSE = re.compile(r"(neither the name of) .* (nor the names of)(?: its| their)? (contributors may be used to endorse)")
 
 
 def normalised(sentence: str) -> str:
     if _COPYRIGHT.match(sentence) and len(sentence) < 200:
         return "copyright"
-    return " ".join(_WORDS.findall(sentence.lower().replace("licence", "license")))
+    words = " ".join(_WORDS.findall(sentence.lower().replace("licence", "license")))
+    # The holder is named in the last condition of BSD licences.
+    return _ENDORSE.sub(r"\1 the copyright holder \2 its \3", words)
+
+
+def name_in(sentence: str) -> str | None:
+    """Identifier of a sentence that puts something under a licence."""
+    name = license_names.noticed(normalised(_LATER.sub(" or later", sentence)))
+    return name and NAME + name
+
+
+def tags(text: str) -> Iterator[tuple[int, int, str]]:
+    """Start, end and identifier of the tags and headings that give a licence."""
+    for m in _TAG.finditer(text):
+        if name := license_names.tagged(normalised(_LATER.sub(" or later", m[1]))):
+            yield m.start(), m.start(1) + len(m[1].rstrip()), NAME + name
 
 
 def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
@@ -126,12 +223,16 @@ def _cut(text: str, ends: re.Pattern) -> Iterator[tuple[int, int]]:
     yield start, len(text)
 
 
-def identified(text: str, known: dict[str, str]) -> list[tuple[int, int, int, str]]:
-    """Place in the sequence of sentences, start, end and identifier of each known sentence, in text order."""
+def identified(text: str, known: dict[str, str], names: bool = False) -> list[tuple[int, int, int, str]]:
+    """Place in the sequence of sentences, start, end and identifier of each known sentence, in text order.
+
+    With ``names``, sentences that name a public licence are known too.
+    """
     lead = max(len(k) for k in known) * 4
-    found: dict[int, tuple[int, int, str]] = {}
+    found: dict[int, tuple[int, int, str]] = {a: (a, b, name) for a, b, name in tags(text)} if names else {}
     starts: list[int] = []
     for ends in (_IN_LINE, _IN_PARAGRAPH):
+        before = sorted(found)
         for a, b in _cut(text, ends):
             body = text[a:b]
             a += len(body) - len(body.lstrip())
@@ -139,7 +240,18 @@ def identified(text: str, known: dict[str, str]) -> list[tuple[int, int, int, st
                 continue
             if ends is _IN_PARAGRAPH:
                 starts.append(a)
-            if b - a <= lead and (name := known.get(normalised(text[a:b]))) and a not in found:
+            if b - a > lead or a in found and not found[a][2].startswith(NAME):
+                continue
+            if ends is _IN_PARAGRAPH:
+                for x in before[bisect_right(before, a) : bisect_left(before, b)]:
+                    _, end, old = found[x]
+                    if old.startswith(NAME) and end < b and (name := name_in(text[x:b])) not in (None, old):
+                        found[x] = (x, b, name)
+            name = known.get(normalised(text[a:b])) or (name_in(text[a:b]) if names else None)
+            # A name that goes on in the next line is read from the paragraph, and not again where a line has it.
+            if not name or a in found and found[a][1] >= b:
+                continue
+            if not name.startswith(NAME) or bisect_right(before, a) == bisect_left(before, b):
                 found[a] = (a, b, name)
     places = {a: i for i, a in enumerate(sorted({*starts, *found}))}
     return [(places[a], a, b, name) for a, (_, b, name) in sorted(found.items())]
@@ -158,6 +270,9 @@ def matched(sequence: list[tuple[int, int, int, str]], rules: tuple[Rule, ...])
                 at += len(part)
                 break
         else:
+            _, a, b, name = sequence[at]
+            if name.startswith(NAME):
+                out.append((name.removeprefix(NAME), a, b))
             at += 1
     return out
 
@@ -179,7 +294,7 @@ def scan(
             if not text or (quick and not _MENTIONS.search(text)):
                 yield doc_id, [], []
                 continue
-            sequence = identified(text, known)
+            sequence = identified(text, known, quick)
             yield (
                 doc_id,
                 [name for *_, name in sequence],

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strataline.llm import chat, jaccard, langid, licenses, mixing, neighbours, packing, pii, quality, secret_scan
+from strataline.llm import chat, jaccard, langid, license_names, licenses, mixing, neighbours, packing, pii, quality, secret_scan
 from strataline.llm.queries import MIX, domain, op3_langid, op6_chat, tokenizer_files
 
 SF = "/root/testdata/sf0.001"
@@ -48,6 +48,50 @@ def test_licenses(spark, odd):
     assert licenses.scan(odd.limit(0)).count() == 0
 
 
+GNU = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation"
+NOTICES = {
+    "Licensed under the MIT License.": "MIT",
+    "This work is licensed under the MIT License.": "MIT",
+    "Licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+    "This file is released under the GPLv2+.": "GPL-2.0-or-later",
+    "Distributed under the terms of the GNU Lesser General Public License v2.1 or later.": "LGPL-2.1-or-later",
+    f"Foo is free software: {GNU.format('Affero General Public License')}, either version 3 of the License, or (at your option) any later version.": "AGPL-3.0-or-later",
+    f"This program is free software; {GNU.format('General Public License')}; either version 2 of the License, or (at your option)\nany later version.": "GPL-2.0-or-later",
+    f"This library is free software; {GNU.format('Lesser General Public License')}; version 2.1 of the License.": "LGPL-2.1-only",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.": "GPL-2.0-only",
+    "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991\n": "GPL-2.0-only",
+    "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/.": "MPL-2.0",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0",
+    "Licensed under CC BY-SA 3.0.": "CC-BY-SA-3.0",
+    "Text is available under the Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International Public License": "CC-BY-NC-ND-4.0",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "Released under the 3-Clause BSD License": "BSD-3-Clause",
+    "Licensed under the BSD License.": "BSD-unspecified",
+    "Licensed under the Apache 2.0 licence.": "Apache-2.0",
+    "Licensed under either the MIT License or the Apache License, Version 2.0.": "MIT OR Apache-2.0",
+    "// SPDX-License-Identifier: GPL-3.0-or-later\n": "GPL-3.0-or-later",
+    "License: MIT\n": "MIT",
+    "A heading\nThis work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+    "A heading\nLicensed under the GNU General Public License,\nversion 2 or later.": "GPL-2.0-or-later",
+    "This is not licensed under the MIT License.": "",
+    "Licensed under an MIT-style license.": "",
+    "Licensed under the Apache License, Version 7.0.": "",
+    "Licensed under the Foo License.": "",
+    "Ein Satz mit Worten\nmit\n": "",
+}
+
+
+def test_licence_notices(spark):
+    table = spark.createDataFrame(list(enumerate(f"Some prose.\n\n{n}\n\nMore prose." for n in NOTICES)), "doc_id long, text string")
+    got = {r["doc_id"]: ",".join(m["license"] for m in r["matches"]) for r in licenses.scan(table).collect()}
+    assert {n: got[i] for i, n in enumerate(NOTICES)} == NOTICES
+    for name in license_names.LICENSES:
+        if not name.endswith("-unspecified"):
+            assert license_names.tagged(licenses.normalised(name)) == name
+
+
 def test_quality_statistics_match_brute_force(docs, odd):
     for table in (docs, odd):
         want, got = [], [tuple(r)[:6] for r in quality.stats(table).collect()]
