@@ -19,14 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def map_rows(
-    df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str, batch_rows: int = 4096
+    df: DataFrame, fn: Callable[[Iterator[tuple]], Iterator[tuple]], schema: str | StructType, batch_rows: int = 4096
 ) -> DataFrame:
     """Run a generator over the rows of each partition, in Arrow batches.
 
     ``fn`` takes an iterator over the rows as tuples, in the order of ``df``'s columns, and yields tuples in the
-    order of ``schema``; it may hold state for the whole partition. Rows are never gathered beyond one batch.
+    order of ``schema`` (DDL, or a type where names are a caller's); it may hold state for the whole partition. Rows are never gathered beyond one batch.
     """
-    arrow = to_arrow_schema(StructType.fromDDL(schema))
+    arrow = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:

@@ -8,7 +8,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from strataline.llm import chat, jaccard, langid, licenses, mixing, neighbours, packing, pii, quality, secret_scan, sql
+from strataline.llm import (
+    chat,
+    contamination,
+    jaccard,
+    langid,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    quality,
+    secret_scan,
+    sql,
+    vantage,
+    variants,
+)
 from strataline.llm.common import table
 
 # A user who quotes the template's own control strings, and an assistant who repeats them.
@@ -133,6 +148,29 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents"), jaccard.Similarity(words=3, percent=90))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, their near words, and the frequent form each goes back to."""
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+def op12_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of every document lies in windows of ten words of the benchmark."""
+    found = contamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors of 64 components in 40 clusters."""
+    return vantage.report(*vantage.cluster(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_quality": op2_quality,
@@ -144,10 +182,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_packing": op9_packing,
     "op10_jaccard": op10_jaccard,
+    "op11_variants": op11_variants,
+    "op12_contamination": op12_contamination,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_mixing": sql.mixing_sql(
         DOMAIN_SQL.format(number="regexp_extract(coalesce(source, ''), '([0-9]{1,9})$', 1)"), MIX
     ),
+    "op12_contamination": sql.contamination_sql(contamination.SIZE),
+    "op13_centroids": sql.centroids_sql(k=40, rounds=5, dim=64),
 }

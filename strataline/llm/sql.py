@@ -50,3 +50,58 @@ placed as (select *, coalesce(sum(n_tokens) over (partition by domain, lang, sou
     rows between unbounded preceding and 1 preceding), 0) as before from ranked)
 select domain, lang, source, doc_id, n_tokens::bigint as n_tokens, epochs::bigint as epochs,
   greatest(0, least(n_tokens, rest - before))::bigint as prefix_tokens from placed"""
+
+
+def contamination_sql(size: int) -> str:
+    """Windows of items against windows of documents, word by word."""
+
+    def words(column: str) -> str:
+        lower = f"translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    return f"""
+with items as (select item_id::varchar as item, {words('text')} as w from benchmark),
+windows as (select distinct item, least(len(w), {size}) as size, array_to_string(w[pos : pos + least(len(w), {size}) - 1], ' ') as key
+  from (select item, w, unnest(range(1, greatest(1, len(w) - {size - 1}) + 1)) as pos from items where len(w) > 0)),
+docs as (select row_number() over () as row, doc_id, {words('text')} as w from documents),
+places as (select row, unnest(range(1, len(w) + 1)) as pos, w from docs),
+found as (select row, pos, size, item from (
+    select row, pos, size, array_to_string(w[pos : pos + size - 1], ' ') as key
+    from places, (select distinct size from windows) where pos + size - 1 <= len(w)) join windows using (size, key)),
+hit as (select row, count(distinct word) as n_hit from (select row, unnest(range(pos, pos + size)) as word from found) group by row),
+named as (select row, count(*) as n_items, string_agg(item, ',' order by item) as names
+  from (select distinct row, item from found where item is not null) group by row)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join hit using (row) left join named using (row)"""
+
+
+def centroids_sql(k: int, rounds: int, dim: int) -> str:
+    """Rounds of assignment and exact means, one after the other."""
+    floor = "(s - ((s % n) + n) % n) // n"
+
+    def assigned(r: int) -> str:
+        far = f"list_sum(list_transform(range(1, {dim + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+        return f"""a{r} as (select row, vec_id, v, arg_min(cluster, (far, cluster)) as cluster, min(far) as distance
+  from (select row, vec_id, v, cluster, {far}::bigint as far from kept, c{r}) group by all)"""
+
+    def moved(r: int) -> str:
+        return f"""m{r} as (select cluster, list(mean order by i) as c from (
+    select cluster, i, {floor} as mean from (
+      select cluster, i, sum(v[i])::hugeint as s, count(*)::hugeint as n
+      from a{r - 1}, (select unnest(range(1, {dim + 1})) as i) group by cluster, i)) group by cluster),
+c{r} as (select cluster, coalesce(m{r}.c, c{r - 1}.c)::bigint[] as c from c{r - 1} left join m{r} using (cluster))"""
+
+    steps = [assigned(0)]
+    for r in range(1, rounds + 1):
+        steps += [moved(r), assigned(r)]
+    return f"""
+with kept as materialized (select row_number() over () as row, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings where len(embedding) = {dim}
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x) and abs(x) < 524288)) = {dim}),
+c0 as (select (row_number() over (order by sha256('2:' || vec_id), v) - 1)::int as cluster, v as c from kept
+  order by cluster limit {k}),
+{", ".join(steps)}
+select vec_id, cluster, distance, sum(distance) over (partition by cluster)::bigint as cluster_inertia,
+  sum(distance) over ()::bigint as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+from a{rounds} join c{rounds} using (cluster)"""
