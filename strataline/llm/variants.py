@@ -1,7 +1,7 @@
 """Spelling variants: words one edit apart, found by pivotal grams.
 
 Words are counted in the tasks that read the texts and added up by Spark. A word's bigrams are ordered by how many
-words hold them, rare ones first; its prefix is its first ``2 * edits + 1`` grams with all that tie with the last of
+words hold them, rare ones first; its prefix is its first ``2 * edits + 1`` grams with those that tie with the last of
 them. Among the prefix, dynamic programming chooses ``edits + 1`` grams that don't overlap and are rarest together:
 the pivots. One edit spoils at most one of two disjoint grams. Hence of two words one edit apart, the one whose
 prefix ends earlier in the order has a pivot that is in the other's prefix, at the same place from the start or from
@@ -21,11 +21,12 @@ they occur; a word without near words is its own root; no words give no rows; ot
 
 from __future__ import annotations
 
+import heapq
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from itertools import pairwise
+from itertools import islice, pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +39,8 @@ from strataline.session import stage
 LEAST_POINTS = 7
 GRAM = 2
 EDITS = 1
+# Places of one gram that pivots are chosen from: a rarer pivot overlaps two of them at most.
+OCCURRENCES = 3
 # Damage dealt to a run: one code point goes where this number divides the hash.
 DAMAGE = 31
 # Words counted together in a task before the counts are handed on.
@@ -93,11 +96,18 @@ def gram_counts(words: DataFrame) -> dict[str, int]:
     return {r["gram"]: r["n"] for r in made.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
 
 
-def prefix(word: str, rank: dict[str, int], edits: int = EDITS) -> tuple[int, list[int]]:
-    """The rank of the prefix's last gram, and the places of all grams up to that rank, ascending."""
+def prefix(word: str, rank: dict[str, int], edits: int = EDITS) -> tuple[int, list[int], list[int]]:
+    """The rank of the prefix's last gram, the prefix's places, and those among which pivots are chosen; ascending.
+
+    Of a gram that a word repeats over and over the first places do. The choice of pivots takes the leftmost of equal
+    ones and needs ``OCCURRENCES`` places at most; an edit makes or spoils at most ``GRAM`` grams, so a near word has
+    the pivot's gram among that many more.
+    """
     ranks = [rank[word[i : i + GRAM]] for i in range(len(word) - GRAM + 1)]
-    last = sorted(ranks)[GRAM * edits]
-    return last, [i for i, r in enumerate(ranks) if r <= last]
+    last = heapq.nsmallest(GRAM * edits + 1, ranks)[-1]
+    fewer = [i for i, r in enumerate(ranks) if r < last]
+    ties = list(islice((i for i, r in enumerate(ranks) if r == last), OCCURRENCES + GRAM * edits))
+    return last, sorted(fewer + ties), sorted(fewer + ties[:OCCURRENCES])
 
 
 def pivots(places: Sequence[int], cost: Sequence[int], edits: int = EDITS) -> list[int]:
@@ -176,8 +186,8 @@ def near_pairs(words: DataFrame) -> DataFrame:
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         rank, cost = table.value
         for word, n in rows:
-            last, places = prefix(word, rank)
-            chosen = pivots(places, [cost[word[i : i + GRAM]] for i in places])
+            last, places, choice = prefix(word, rank)
+            chosen = pivots(choice, [cost[word[i : i + GRAM]] for i in choice])
             for key in index_keys(word, places):
                 yield key, False, last, word, n
             for key in probe_keys(word, chosen):
