@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.functions.scalars import open_end
-from strataline.operators.dense import dense_ids
 from strataline.operators.upsert import upsert
-from strataline.operators.windows import BLOCK_ROWS, blocked_window
+from strataline.operators.windows import BLOCK_ROWS, numbered_window
 
 
 def interval_history(
@@ -26,13 +25,12 @@ def interval_history(
 
     Adds ``sk`` (1..n in (key, date, ties) order), ``effective_date``, ``end_date`` and ``is_current``.
     Two points on one date both survive; the first then ends before it starts. Points without a key
-    are dropped. The key itself is the global position, so successors are found within blocks of
-    positions and no task has to hold the whole history of one key.
+    are dropped.
     """
-    ordered = dense_ids(points.filter(F.col(key).isNotNull()), [key, date, *ties], sk)
-    following = blocked_window(
-        ordered, [key], sk, lambda w, _: {"_next": F.lead(date).over(w)}, following=1, block_rows=block_rows
-    )
+    following = numbered_window(
+        points.filter(F.col(key).isNotNull()), [key], [date, *ties], sk,
+        lambda w, _: {"_next": F.lead(date).over(w)}, following=1, block_rows=block_rows,
+    )
     return following.select(
         F.col(sk),
         *[c for c in points.columns],
