@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.operators.dedupe import keep_last
-from strataline.session import stage
+from strataline.operators.validity import chunk_of, day_number, disjoint_intervals
 
 
 def lookup(
@@ -50,7 +50,6 @@ def asof_lookup(
     dim_key: str,
     sk: str,
     out: str | None = None,
-    overlaps: bool | None = None,
 ) -> DataFrame:
     """Surrogate key of the version valid on the fact's day, else of the current version, else null.
 
@@ -58,89 +57,47 @@ def asof_lookup(
     highest (effective_date, key) wins. A version that ends before it starts is never valid.
 
     The answer depends only on (key, day), so distinct (key, day) probes are resolved and joined back.
-    Probes and versions of a key meet in one ordered pass instead of a pairwise range join, and a key
-    contributes at most one probe per calendar day however many facts it has. The join back is on
-    (key, day) against one row each.
-
-    In that pass the latest started version answers, unless it ended while an earlier one still runs.
-    Histories built by successor dates never do that (``overlaps=False``); for others the dimension is
-    tested, and only then are such probes resolved by an interval join.
+    Versions are first cut into disjoint intervals; probes and intervals of a key and chunk of days then meet
+    in one ordered pass, where the latest interval begun answers if it hasn't ended. Neither a key nor its
+    history is one task's: a group holds the days of one chunk. The join back is on (key, day) against one row each.
     """
     out = out or sk
     versions = dim.select(
         F.col(dim_key).alias("_k"),
-        F.col("effective_date").alias("_at"),
-        F.col("end_date").alias("_end"),
+        day_number(F.col("effective_date")).alias("_start"),
+        day_number(F.col("end_date")).alias("_end"),
         F.col(sk).cast("bigint").alias("_sk"),
         F.col("is_current").alias("_current"),
     ).filter(F.col("_k").isNotNull())
-    live = versions.filter("_end >= _at")
-    if overlaps is None:
-        overlaps = _has_overlaps(live)
-
-    probes = facts.select(F.col(fact_key).alias("_k"), F.to_date(fact_date).alias("_at")).distinct()
-    events = probes.filter(F.col("_k").isNotNull()).select(
-        "_k",
-        "_at",
-        F.lit(1).alias("_kind"),
-        F.lit(None).cast("bigint").alias("_sk"),
-        F.lit(None).cast("date").alias("_end"),
-        F.lit(False).alias("_live"),
-        F.lit(False).alias("_current"),
-    ).unionByName(
-        versions.withColumn("_live", F.col("_end") >= F.col("_at"))
-        .filter("_live or _current")
-        .withColumn("_kind", F.lit(0))
+    probes = facts.select(F.col(fact_key).alias("_k"), F.to_date(fact_date).alias("_day")).distinct()
+    days = probes.agg(day_number(F.min("_day")).alias("first"), day_number(F.max("_day")).alias("last")).first()
+    first, last = (0, -1) if days["first"] is None else days
+    intervals = disjoint_intervals(versions.filter("_end >= _start"), first, last)
+    at = day_number(F.col("_day"))
+    events = (
+        probes.filter("_k is not null and _day is not null")
+        .select("_k", chunk_of(at).alias("_chunk"), at.alias("_from"), F.lit(1).alias("_kind"), F.col("_day"))
+        .unionByName(intervals.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
     )
-    in_order = Window.partitionBy("_k").orderBy("_at", "_kind", "_sk").rowsBetween(Window.unboundedPreceding, 0)
-    whole_key = Window.partitionBy("_k")
-    started = F.last(F.when(F.col("_live"), F.struct("_sk", "_end")), ignorenulls=True).over(in_order)
-    reach = F.max(F.when(F.col("_live"), F.col("_end"))).over(in_order)
-    current = F.max(F.when(F.col("_current"), F.struct("_at", "_sk"))).over(whole_key)
-    resolved = (
-        events.select(
-            "_k", "_at", "_kind", started.alias("_started"), reach.alias("_reach"), current["_sk"].alias("_fallback")
-        )
-        .filter("_kind = 1")
-        .select(
-            "_k",
-            "_at",
-            F.when(F.col("_started._end") >= F.col("_at"), F.col("_started._sk")).alias("_valid"),
-            ((F.col("_started._end") < F.col("_at")) & (F.col("_reach") >= F.col("_at"))).alias("_shadowed"),
-            "_fallback",
-        )
+    in_order = Window.partitionBy("_k", "_chunk").orderBy("_from", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    begun = F.last(F.when(F.col("_kind") == 0, F.struct("_to", "_sk")), ignorenulls=True).over(in_order)
+    valid = (
+        events.select("_k", "_day", "_from", "_kind", begun.alias("_begun"))
+        .filter("_kind = 1 and _begun._to >= _from")
+        .select("_k", "_day", F.col("_begun._sk").alias("_valid"))
     )
-    if overlaps:
-        resolved = _resolve_shadowed(stage(resolved, "asof"), live)
-    answers = resolved.select(
-        F.col("_k"), F.col("_at").alias("_day"), F.coalesce("_valid", "_fallback").alias(out)
+    current = (
+        versions.filter("_current")
+        .groupBy("_k")
+        .agg(F.max(F.struct("_start", "_sk"))["_sk"].alias("_fallback"))
+        .select(F.col("_k").alias("_current_k"), "_fallback")
     )
-    return facts.join(
-        answers,
-        (facts[fact_key] == answers["_k"]) & F.to_date(facts[fact_date]).eqNullSafe(answers["_day"]),
-        "left",
+    resolved = facts.join(
+        valid, (facts[fact_key] == valid["_k"]) & (F.to_date(facts[fact_date]) == valid["_day"]), "left"
     ).drop("_k", "_day")
-
-
-def _has_overlaps(live: DataFrame) -> bool:
-    before = Window.partitionBy("_k").orderBy("_at", "_sk").rowsBetween(Window.unboundedPreceding, -1)
-    tested = live.select("_at", F.max("_end").over(before).alias("_reach"))
-    return not tested.filter("_reach >= _at").isEmpty()
-
-
-def _resolve_shadowed(resolved: DataFrame, live: DataFrame) -> DataFrame:
-    """Answer the probes whose latest started version has ended while an earlier one still runs."""
-    v = live.select(F.col("_k").alias("_vk"), F.col("_at").alias("_from"), "_end", "_sk")
-    found = (
-        resolved.filter("_shadowed")
-        .join(v, (F.col("_k") == F.col("_vk")) & F.col("_at").between(F.col("_from"), F.col("_end")))
-        .groupBy("_k", "_at")
-        .agg(F.max(F.struct("_from", "_sk"))["_sk"].alias("_valid"))
-        .withColumn("_shadowed", F.lit(True))
+    return resolved.join(current, resolved[fact_key] == current["_current_k"], "left").select(
+        *facts.columns, F.coalesce("_valid", "_fallback").alias(out)
     )
-    fallback = resolved.filter("_shadowed").select("_k", "_at", "_fallback")
-    answered = found.join(fallback, ["_k", "_at"])
-    return resolved.filter("not coalesce(_shadowed, false)").unionByName(answered)
 
 
 def orphan_keys(child: DataFrame, child_column: str, parent: DataFrame, parent_column: str) -> DataFrame:
