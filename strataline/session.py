@@ -100,13 +100,14 @@ def control_table(spark: SparkSession, rows: Sequence[Sequence[object]], ddl: st
 _staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+def stage(df: DataFrame, label: str = "stage", spark: SparkSession | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Used where a result is read several times or must not be recomputed differently: it cuts lineage,
-    survives the loss of executors, and later reads prune columns.
+    survives the loss of executors, and later reads prune columns. ``spark`` is the session that goes on, if it is
+    not the one ``df`` was made in.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     paths = _staged.get()
