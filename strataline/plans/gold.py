@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.functions.scalars import half_even, to_day
 from strataline.operators.dedupe import keep_first
 from strataline.operators.joins import lookup
-from strataline.operators.windows import blocked_window, offset_window
+from strataline.operators.windows import offset_window
 from strataline.plans.concurrent import run_all
 from strataline.settings import Settings
 from strataline.sources.store import LayerStore, TableMetrics
@@ -63,56 +65,82 @@ def two_sided(games: DataFrame, sides: list[dict[str, str]]) -> DataFrame:
     return games.select(*shared, F.inline(F.array(*structs)))
 
 
+# The sides of a game: home first.
+SIDES = 2
+
+
 def club_performance(fact_games: DataFrame, dim_clubs: DataFrame) -> DataFrame:
     """Club by derived season: games, wins, losses, draws and goals over home and away games.
 
     A game without a result counts as played. The name is the dimension's, else the first one recorded
     with the club's games of that season, home games first.
     """
-    perspectives = two_sided(
-        fact_games.select(
-            "game_id", F.col("season_derived").alias("season"), "home_club_id", "away_club_id", "home_club_name",
-            "away_club_name", "home_result", "away_result", "home_club_goals", "away_club_goals",
-            F.col("home_club_goals").alias("_conceded_away"), F.col("away_club_goals").alias("_conceded_home"),
-        ),
-        [
-            {
-                "club_id": "home_club_id", "recorded_name": "home_club_name", "result": "home_result",
-                "scored": "home_club_goals", "conceded": "_conceded_home",
-            },
-            {
-                "club_id": "away_club_id", "recorded_name": "away_club_name", "result": "away_result",
-                "scored": "away_club_goals", "conceded": "_conceded_away",
-            },
-        ],
-    ).dropna(subset=["club_id", "season"])
-    return side_performance(perspectives, dim_clubs.select("club_id", "name"), key="club_id", name="club_name")
-
-
-def side_performance(perspectives: DataFrame, names: DataFrame, *, key: str, name: str) -> DataFrame:
-    """Results per ``key`` and season from rows (key, season, side, game_id, recorded_name, result,
-    scored, conceded); ``names`` has one row (key, name) per known key.
-
-    Rows are first aggregated per side and recorded name, in a hash table with fixed-size buffers; the
-    first recorded name is then an ordered minimum over those few groups only.
+    home = {
+        "club_id": "home_club_id", "named": "_home_named", "result": "home_result",
+        "scored": "home_club_goals", "conceded": "_conceded_home",
+    }
+    away = {
+        "club_id": "away_club_id", "named": "_away_named", "result": "away_result",
+        "scored": "away_club_goals", "conceded": "_conceded_away",
+    }
+    games = fact_games.select(
+        "game_id", F.col("season_derived").alias("season"), "home_club_id", "away_club_id", "home_result", "away_result",
+        "home_club_goals", "away_club_goals", F.col("home_club_goals").alias("_conceded_away"),
+        F.col("away_club_goals").alias("_conceded_home"), F.col("home_club_name").isNotNull().alias("_home_named"),
+        F.col("away_club_name").isNotNull().alias("_away_named"),
+    )
+    perspectives = two_sided(games, [home, away]).dropna(subset=["club_id", "season"])
+
+    def recorded(winners: DataFrame) -> DataFrame:
+        named = fact_games.select(
+            "game_id", F.col("season_derived").alias("season"), "home_club_id", "away_club_id", "home_club_name", "away_club_name"
+        )
+        first = named.join(winners.select("game_id").distinct(), "game_id", "left_semi")
+        sides = [{"club_id": f"{x}_club_id", "recorded_name": f"{x}_club_name"} for x in ("home", "away")]
+        return two_sided(first, sides)
+
+    names = dim_clubs.select("club_id", "name")
+    return side_performance(perspectives, names, recorded, key="club_id", name="club_name")
+
+
+def side_performance(
+    perspectives: DataFrame, names: DataFrame, recorded: Callable[[DataFrame], DataFrame], *, key: str, name: str
+) -> DataFrame:
+    """Results per ``key`` and season from rows (key, season, side, game_id, named, result, scored, conceded).
+
+    ``names`` has one row (key, name) per known key. A key that it doesn't name takes the first name recorded with
+    its games, in order of side and game. Rows are aggregated by key and season alone, together with the first
+    ``named`` game of each side, in a hash table with fixed-size buffers. Only for keys without a name are those
+    games' names read: ``recorded`` takes (key, season, side, game_id) of these few and gives rows (key, season, side,
+    game_id, recorded_name) that hold them.
     """
-    per_name = perspectives.groupBy(key, "season", "side", "recorded_name").agg(
+    first = [F.min(F.when(F.col("named") & (F.col("side") == i), F.col("game_id"))).alias(f"_first_{i}") for i in range(SIDES)]
+    measured = perspectives.groupBy(key, "season").agg(
         F.count("game_id").alias("matches_played"),
         F.count_if(F.col("result") == "W").alias("wins"),
         F.count_if(F.col("result") == "L").alias("losses"),
         F.count_if(F.col("result") == "D").alias("draws"),
-        F.sum("scored").alias("goals_scored"),
-        F.sum("conceded").alias("goals_conceded"),
-        F.min("game_id").alias("first_game"),
-    )
-    recorded = F.when(F.col("recorded_name").isNotNull(), F.struct("side", "first_game", "recorded_name"))
-    measures = ("matches_played", "wins", "losses", "draws", "goals_scored", "goals_conceded")
-    measured = per_name.groupBy(key, "season").agg(
-        F.min(recorded)["recorded_name"].alias("_recorded"), *[total(m).alias(m) for m in measures]
+        total("scored").alias("goals_scored"),
+        total("conceded").alias("goals_conceded"),
+        *first,
     )
     known = names.filter(F.col("name").isNotNull())
     named = lookup(measured, known, {key: key}, {"_name": "name"})
-    return named.select(key, "season", F.coalesce("_name", "_recorded").alias(name), *measures)
+    side = F.coalesce(*[F.when(F.col(f"_first_{i}").isNotNull(), i) for i in range(SIDES)])
+    winners = named.filter(F.col("_name").isNull() & side.isNotNull()).select(
+        key, "season", side.alias("side"), F.coalesce(*[f"_first_{i}" for i in range(SIDES)]).alias("game_id")
+    )
+    place = [key, "season", "side", "game_id"]
+    held = recorded(winners).select(*place, "recorded_name").filter(F.col("recorded_name").isNotNull())
+    found = (
+        held.join(winners, place, "left_semi")
+        .groupBy(F.col(key).alias("_of"), F.col("season").alias("_in"))
+        .agg(F.min("recorded_name").alias("_recorded"))
+    )
+    measures = ("matches_played", "wins", "losses", "draws", "goals_scored", "goals_conceded")
+    return named.join(found, (F.col(key) == F.col("_of")) & (F.col("season") == F.col("_in")), "left").select(
+        key, "season", F.coalesce("_name", "_recorded").alias(name), *measures
+    )
 
 
 def rolling_mean(value: str):
@@ -120,19 +148,11 @@ def rolling_mean(value: str):
     return lambda _, frame: {"_rolling": half_even(F.avg(value).over(frame))}
 
 
-def valuation_trend(dim_player_valuations: DataFrame, rolling_window: int = 3, numbered: bool = False) -> DataFrame:
-    """Valuations with a rolling mean per player.
-
-    ``numbered`` says that ``valuation_sk`` numbers the rows in (player, date) order, as the valuation
-    history does; frames are then found by position.
-    """
+def valuation_trend(dim_player_valuations: DataFrame, rolling_window: int = 3) -> DataFrame:
+    """Valuations with a rolling mean per player."""
     value, span = "market_value_in_eur", rolling_window - 1
     rows = dim_player_valuations.withColumn("valuation_date", to_day("valuation_date"))
-    compute = rolling_mean(value)
-    if numbered:
-        rolled = blocked_window(rows, ["player_id"], "valuation_sk", compute, preceding=span)
-    else:
-        rolled = offset_window(rows, ["player_id"], ["valuation_date", "valuation_sk"], compute, preceding=span)
+    rolled = offset_window(rows, ["player_id"], ["valuation_date", "valuation_sk"], rolling_mean(value), preceding=span)
     return rolled.select(
         "player_id",
         "valuation_date",
@@ -157,7 +177,7 @@ def build_marts(store: LayerStore, snapshot: str | None, run_id: str, settings:
 
     performance = player_performance(silver["fact_appearances"], silver["dim_date"], silver["dim_players"])
     clubs = club_performance(silver["fact_games"], silver["dim_clubs"])
-    trend = valuation_trend(silver["dim_player_valuations"], settings.rolling_window, numbered=True)
+    trend = valuation_trend(silver["dim_player_valuations"], settings.rolling_window)
     metrics = run_all(
         [
             lambda: write("gold_player_performance", performance, "player_id", "season"),

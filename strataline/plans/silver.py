@@ -15,22 +15,14 @@ from strataline.operators.history import interval_history, merge_points
 from strataline.operators.joins import asof_lookup, lookup
 from strataline.operators.prepare import project_or_null
 from strataline.operators.scd import merge_type1, merge_type2
-from strataline.operators.upsert import upsert
 from strataline.plans.bronze import declared
 from strataline.plans.concurrent import run_all
 from strataline.schemas import SOURCE_ORDER, SOURCE_TABLES
 from strataline.settings import Settings
 from strataline.sources.store import LayerStore, TableMetrics
 
-SILVER_TABLES = (
-    "dim_date",
-    "dim_competitions",
-    "dim_clubs",
-    "dim_players",
-    "dim_player_valuations",
-    "fact_games",
-    "fact_appearances",
-)
+SILVER_DIMENSIONS = ("dim_date", "dim_competitions", "dim_clubs", "dim_players", "dim_player_valuations")
+SILVER_TABLES = (*SILVER_DIMENSIONS, "fact_games", "fact_appearances")
 
 # Attributes of the player dimension with their types, in order.
 PLAYER_ATTRIBUTES = {
@@ -248,11 +240,6 @@ def build_fact_appearances(
     )
 
 
-def merge_facts(existing: DataFrame | None, incoming: DataFrame, key: str) -> DataFrame:
-    """Upsert by natural key; recorded source positions end here."""
-    return declared(upsert(existing, incoming, [key]))
-
-
 def transform_snapshot(
     store: LayerStore,
     snapshot: str,
@@ -267,7 +254,7 @@ def transform_snapshot(
     Dimensions are written first and facts read them back, so nothing is computed twice.
     """
     bronze: Mapping[str, DataFrame] = store.read_all("bronze", list(SOURCE_TABLES), run_id)
-    old = store.read_present("silver", SILVER_TABLES, previous_run)
+    old = store.read_present("silver", SILVER_DIMENSIONS, previous_run)
     day = snapshot_day(bronze["games"], as_of)
     month = settings.season_start_month
 
@@ -301,7 +288,7 @@ def transform_snapshot(
     )
     dims = store.read_all("silver", ["dim_date", "dim_competitions", "dim_clubs", "dim_players"], run_id)
     games = build_fact_games(bronze["games"], dims["dim_date"], dims["dim_competitions"], dims["dim_clubs"], month)
-    metrics.append(write("fact_games", merge_facts(old.get("fact_games"), games, "game_id")))
+    metrics.append(store.upsert(games, "silver", "fact_games", run_id, previous_run, ["game_id"]))
     appearances = build_fact_appearances(
         bronze["appearances"],
         dims["dim_players"],
@@ -310,8 +297,6 @@ def transform_snapshot(
         dims["dim_date"],
         store.read("silver", "fact_games", run_id),
     )
-    metrics.append(
-        write("fact_appearances", merge_facts(old.get("fact_appearances"), appearances, "appearance_id"))
-    )
+    metrics.append(store.upsert(appearances, "silver", "fact_appearances", run_id, previous_run, ["appearance_id"]))
     store.record_metrics(run_id, snapshot, "silver", metrics)
     return metrics, day

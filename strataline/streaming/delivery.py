@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strataline.plans.snapshots import pending, run_snapshot, snapshot_fingerprint
+from strataline.plans.snapshots import digest_snapshot, pending, run_snapshot
 from strataline.session import control_table
 from strataline.settings import Settings
 from strataline.sources.store import LayerStore
@@ -28,10 +28,10 @@ def deliver(
     def process(batch: DataFrame, _: int) -> None:
         # The batch lists snapshots, one row each; their data stays in the files it points to.
         for row in batch.orderBy(F.col("position")).collect():
-            digest = snapshot_fingerprint(store.spark, row.directory)
-            listed = control_table(store.spark, [(row.snapshot, digest)], "snapshot string, content_hash string")
+            source = digest_snapshot(store.spark, row.directory)
+            listed = control_table(store.spark, [(row.snapshot, source.fingerprint)], "snapshot string, content_hash string")
             if not pending(listed, store.ledger()).isEmpty():
-                run_snapshot(store, row.snapshot, row.directory, settings, content_hash=digest)
+                run_snapshot(store, row.snapshot, row.directory, settings, source=source)
 
     writer = announced.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -14,7 +14,7 @@ from strataline.operators.joins import asof_lookup, lookup, new_rows, orphan_key
 from strataline.operators.prepare import SchemaError, cast_declared, conform, project_or_null
 from strataline.operators.scd import merge_type1
 from strataline.operators.upsert import after_watermark, merge_statistics, newest_day, upsert
-from strataline.operators.windows import blocked_window, offset_window
+from strataline.operators.windows import _Layout, numbered_window, offset_window
 from strataline.plans.gold import rolling_mean, valuation_trend
 from strataline.schemas import GAMES, PLAYERS
 
@@ -63,9 +63,52 @@ def test_offset_window_equals_a_plain_window(spark, rows, block_rows):
     assert rows(got, "k", "o", "v", "m", "next") == rows(want, "k", "o", "v", "m", "next")
 
 
-def test_blocked_window_needs_room_for_the_frame(make):
+@pytest.mark.parametrize(("preceding", "following"), [(0, 0), (0, 1), (2, 0), (3, 2), (5, 7)])
+def test_offset_window_across_chunks_smaller_than_the_frame(spark, rows, preceding, following):
+    """Ties and nulls in the order, keys of every size, two key columns; chunks of a few rows."""
+    rng = random.Random(preceding * 10 + following)
+    data = [
+        (rng.choice([None, "a", "a", "a", "b"]), rng.choice([1, 1, 1, 2]), rng.choice([None, *range(4)]), i, rng.randrange(100))
+        for i in range(700)
+    ]
+    df = spark.createDataFrame(data, "k string, l int, o int, p int, v int").repartition(5)
+
+    def all_of(w, frame):
+        ahead = {"lead": F.lead("v", following).over(w)} if following else {}
+        behind = {"lag": F.lag("v", preceding).over(w)} if preceding else {}
+        return {"s": F.sum("v").over(frame), "c": F.count("v").over(frame), **ahead, **behind}
+
+    block = preceding + following + 1
+    got = numbered_window(df, ["k", "l"], ["o", "p"], "n", all_of, preceding, following, block_rows=block)
+    w = Window.partitionBy("k", "l").orderBy("o", "p")
+    want = df.select(
+        "*",
+        F.row_number().over(Window.orderBy("k", "l", "o", "p")).cast("bigint").alias("n"),
+        *[c.alias(n) for n, c in all_of(w, w.rowsBetween(-preceding, following)).items()],
+    )
+    assert rows(got, *want.columns) == rows(want)
+    plain = offset_window(df, ["k", "l"], ["o", "p"], all_of, preceding, following, block_rows=block)
+    assert rows(plain, *[c for c in want.columns if c != "n"]) == rows(want.drop("n"))
+
+
+def test_offset_window_shuffles_rows_once(spark):
+    df = spark.range(1000).select((F.col("id") % 10).alias("k"), "id", F.col("id").alias("v"))
+    made = offset_window(df, ["k"], ["id"], rolling_mean("v"), preceding=2)
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_chunks_of_a_large_key_are_bounded(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") < 15_000, 1).otherwise(F.col("id")).alias("k"), F.xxhash64("id").alias("o"))
+    layout = _Layout(df, ["k"], ["o"], 500)
+    sizes = [r["count"] for r in layout.rows.filter("k = 1").groupBy("_chunk").count().collect()]
+    # 20,000 rows over four shuffle partitions: a chunk should hold about 5,000.
+    assert len(sizes) >= 3 and sum(sizes) == 15_000 and max(sizes) < 10_000
+    assert layout.rows.filter("k <> 1 and (_chunk > 0 or _is_cut)").isEmpty()
+
+
+def test_offset_window_needs_room_for_the_frame(make):
     with pytest.raises(ValueError):
-        blocked_window(make("k int, p long", (1, 1)), ["k"], "p", lambda w, _: {}, preceding=4, block_rows=4)
+        offset_window(make("k int, p long", (1, 1)), ["k"], ["p"], lambda w, _: {}, preceding=4, block_rows=4)
 
 
 def test_lookup_never_multiplies_rows(make, rows):
@@ -198,9 +241,8 @@ def test_rolling_mean_rounds_half_even_and_skips_nulls(make):
     ddl = "valuation_sk long, player_id int, valuation_date date, market_value_in_eur long, current_club_id int, current_club_name string, is_current boolean"
     values = [110, 113, None, 125, 126]
     df = make(ddl, *[(i + 1, 1, D(2024, 1, 1 + i), v, 1, "c", False) for i, v in enumerate(values)])
-    for numbered in (False, True):
-        got = valuation_trend(df, 3, numbered).orderBy("valuation_date").collect()
-        assert [r.rolling_average_market_value for r in got] == [110, 112, 112, 119, 126]
+    got = valuation_trend(df, 3).orderBy("valuation_date").collect()
+    assert [r.rolling_average_market_value for r in got] == [110, 112, 112, 119, 126]
     ordered = Window.partitionBy("k").orderBy("o")
     assert "_rolling" in rolling_mean("x")(ordered, ordered.rowsBetween(-1, 0))
 
