@@ -2,51 +2,29 @@
 
 from __future__ import annotations
 
-
-def _season(day: str) -> str:
-    return f"cast(year({day}) - case when month({day}) >= 8 then 0 else 1 end as integer)"
-
-
-def _cents(column: str) -> str:
-    return f"cast(round({column} * 100) as bigint)"
-
+from strataline.workload.feed_oracle import FEED_SQL
+from strataline.workload.oracle_parts import OPEN, asof_sql, cents_sql, season_sql
 
 _POINTS = f"""
-    select l_partkey as part, cast(l_shipdate as date) as day, {_cents("l_extendedprice")} as price,
+    select l_partkey as part, cast(l_shipdate as date) as day, {cents_sql("l_extendedprice")} as price,
            l_suppkey as supplier, max(l_returnflag) as flag
     from lineitem group by all"""
 
-_OPEN = "date '9999-12-31'"
-
 
 def _history(points: str) -> str:
     return f"""
     select row_number() over (order by part, day, price, supplier) as price_sk, part, day, price, supplier, flag,
            day as effective_date,
-           coalesce(lead(day) over w - 1, {_OPEN}) as end_date,
+           coalesce(lead(day) over w - 1, {OPEN}) as end_date,
            lead(day) over w is null as is_current
     from ({points}) p
     window w as (partition by part order by day, price, supplier)"""
 
 
-def _asof(facts: str, key: str, day: str, dim: str, dim_key: str, sk: str) -> str:
-    """Facts left-joined with the winning version of each distinct (key, day)."""
-    return f"""
-    with f as ({facts}), d as ({dim}),
-    probes as (select distinct {key} as k, {day} as probe_day from f),
-    valid as (
-        select k, probe_day, arg_max(d.{sk}, (d.effective_date, d.{sk})) as sk
-        from probes join d on d.{dim_key} = k and probe_day between d.effective_date and d.end_date
-        group by k, probe_day),
-    cur as (select {dim_key} as k, max({sk}) as sk from d where is_current group by 1)
-    select f.*, coalesce(valid.sk, cur.sk) as {sk}
-    from f left join valid on valid.k = f.{key} and valid.probe_day = f.{day} left join cur on cur.k = f.{key}"""
-
-
 # The customer's latest order as of a cut, with the deletion flag and effective date of the merge.
 def _state(cut: str) -> str:
     return f"""
-    select o_custkey, o_orderpriority, o_orderstatus, {_cents("o_totalprice")} as total,
+    select o_custkey, o_orderpriority, o_orderstatus, {cents_sql("o_totalprice")} as total,
            cast(o_orderstatus = 'F' and o_orderpriority = '1-URGENT' as integer) as is_deleted,
            case when o_orderstatus = 'F' and o_orderpriority = '1-URGENT'
                 then (select max(cast(o_orderdate as date)) from orders where {cut})
@@ -66,27 +44,27 @@ _SCD2 = f"""
     kept as (
         select v1.o_custkey, v1.o_orderpriority, v1.o_orderstatus, v1.total, v1.is_deleted, v1.customer_sk,
                v1.eff as effective_date,
-               case when m.changed then m.eff - 1 else {_OPEN} end as end_date,
+               case when m.changed then m.eff - 1 else {OPEN} end as end_date,
                not coalesce(m.changed, false) as is_current
         from v1 left join m using (o_custkey)),
     added as (
         select o_custkey, o_orderpriority, o_orderstatus, total, is_deleted,
                (select max(customer_sk) from v1) + row_number() over (order by o_custkey) as customer_sk,
-               eff as effective_date, {_OPEN} as end_date, true as is_current
+               eff as effective_date, {OPEN} as end_date, true as is_current
         from m where is_deleted = 0 and (old_sk is null or changed))
     select * from kept union all select * from added"""
 
 
 def _totals(cut: str) -> str:
     return f"""
-    select o_custkey, count(*) as n_orders, cast(sum({_cents("o_totalprice")}) as bigint) as total,
+    select o_custkey, count(*) as n_orders, cast(sum({cents_sql("o_totalprice")}) as bigint) as total,
            max(cast(o_orderdate as date)) as last_day
     from orders where {cut} group by 1"""
 
 
 _LINE = f"""
     select l_orderkey, l_linenumber, cast(l_shipdate as date) as ship_day, l_partkey, l_suppkey,
-           {_cents("l_extendedprice")} as price, l_returnflag from lineitem"""
+           {cents_sql("l_extendedprice")} as price, l_returnflag from lineitem"""
 
 _LAST = """qualify row_number() over (partition by l_orderkey, l_linenumber
             order by ship_day desc, l_partkey desc, l_suppkey desc, price desc, l_returnflag desc) = 1"""
@@ -127,7 +105,7 @@ _NULL_COUNTS = """
 
 _MONTHS = f"""
     select strftime(o_orderdate, '%Y-%m') as snapshot,
-           md5(count(*) || '|' || cast(sum({_cents("o_totalprice")}) as bigint) || '|' || max(o_orderkey)) as content_hash
+           md5(count(*) || '|' || cast(sum({cents_sql("o_totalprice")}) as bigint) || '|' || max(o_orderkey)) as content_hash
     from orders"""
 
 
@@ -148,15 +126,25 @@ _ISO_CASE = "case c_nationkey " + " ".join(f"when {i} then '{c}'" for i, c in en
 ORACLE_SQL: dict[str, str] = {
     "season_performance": f"""
         select m.*, c_name as name, c_mktsegment as segment, c_nationkey as nation from (
-            select o_custkey as c_custkey, {_season("o_orderdate")} as season,
+            select o_custkey as c_custkey, {season_sql("o_orderdate")} as season,
                    count(distinct o_orderkey) as matches_played,
                    cast(sum(cast(l_quantity as bigint)) as bigint) as total_quantity,
-                   cast(sum({_cents("l_extendedprice")}) as bigint) as total_cents
+                   cast(sum({cents_sql("l_extendedprice")}) as bigint) as total_cents
             from orders join lineitem on l_orderkey = o_orderkey group by all) m
         left join customer using (c_custkey)""",
+    "performance_gaps": f"""
+        with r as (
+            select o_orderkey, case when o_orderpriority <> '1-URGENT' then o_custkey end as c_custkey,
+                   case when o_orderpriority <> '5-LOW' then {season_sql("o_orderdate")} end as season,
+                   case when o_orderstatus <> 'P' then quantity end as quantity
+            from orders left join (select l_orderkey, sum(cast(l_quantity as bigint)) as quantity from lineitem group by 1)
+              on l_orderkey = o_orderkey)
+        select r.c_custkey, season, count(distinct o_orderkey) as matches_played, cast(coalesce(sum(quantity), 0) as bigint) as total_quantity,
+               'again ' || any_value(c_name) as name, any_value(c_nationkey) - 1 as nation
+        from r join customer c on c.c_custkey = r.c_custkey where season is not null group by 1, 2""",
     "two_sided_results": f"""
         with g as (
-            select l_orderkey as game_id, {_season("l_shipdate")} as season, c_nationkey as nb,
+            select l_orderkey as game_id, {season_sql("l_shipdate")} as season, c_nationkey as nb,
                    case when l_linenumber = 7 then s_nationkey + 100 else s_nationkey end as na,
                    s_name, c_name, cast(l_quantity as bigint) as a, cast(round(l_discount * 500) as bigint) as b
             from lineitem left join orders on o_orderkey = l_orderkey left join customer on c_custkey = o_custkey
@@ -173,11 +161,14 @@ ORACLE_SQL: dict[str, str] = {
         where p.nation is not null and season is not null group by p.nation, season""",
     "rolling_trend": f"""
         with p as (select l_partkey, cast(l_shipdate as date) as ship_day, l_orderkey, l_linenumber, l_suppkey,
-                          {_cents("l_extendedprice")} as price from lineitem)
+                          {cents_sql("l_extendedprice")} as price from lineitem)
         select *, round_even(avg(price) over (partition by l_partkey
             order by ship_day, l_orderkey, l_linenumber, l_suppkey, price rows between 2 preceding and current row), 0)
             as rolling_price from p""",
     "price_history_scd2": _history(_POINTS),
+    "history_gaps": f"""
+        select * from ({_history(_POINTS.replace("select l_partkey as part", "select case when l_returnflag <> 'R' then l_partkey end as part")
+            .replace("group by all", "group by all having part is not null"))})""",
     "history_union_rebuild": _history(f"""
         with known as ({_POINTS.replace("group by all", "where year(l_shipdate) <= 1998 group by all")}),
         arriving as ({_POINTS.replace("group by all", "where year(l_shipdate) >= 1997 group by all")})
@@ -186,14 +177,21 @@ ORACLE_SQL: dict[str, str] = {
         """),
     "scd2_merge": _SCD2,
     "scd2_inverted": f"select count(*) as inverted from ({_history(_POINTS)}) where end_date < effective_date",
-    "asof_lookup": _asof(
+    "asof_lookup": asof_sql(
         "select l_orderkey, l_linenumber, l_partkey, cast(l_shipdate as date) as ship_day from lineitem",
         "l_partkey", "ship_day",
         _history(_POINTS.replace("group by all", "where year(l_shipdate) >= 1998 group by all")), "part", "price_sk",
     ),
-    "asof_customer": _asof(
+    "asof_customer": asof_sql(
         "select o_orderkey, o_custkey, cast(o_orderdate as date) as order_day from orders",
-        "o_custkey", "order_day", _SCD2, "o_custkey", "customer_sk",
+        "o_custkey",
+        "order_day",
+        f"""select o_custkey, customer_sk, effective_date, end_date, is_current from ({_SCD2})
+            union all
+            select o_custkey, o_orderkey + 1000000000, cast(o_orderdate as date) - 30, cast(o_orderdate as date) + 90, false
+            from orders where o_orderpriority = '5-LOW'""",
+        "o_custkey",
+        "customer_sk",
     ),
     "scd1_merge": f"""
         with old as (select row_number() over (order by o_custkey) as customer_sk, *
@@ -208,14 +206,20 @@ ORACLE_SQL: dict[str, str] = {
     "fact_lookup": f"""
         with n as (select n_nationkey, n_regionkey, row_number() over (order by n_nationkey) as nation_sk from nation),
         r as (select r_regionkey, row_number() over (order by r_regionkey) as region_sk from region)
-        select o_orderkey, cast(o_orderdate as date) as order_day, {_season("o_orderdate")} as season,
+        select o_orderkey, cast(o_orderdate as date) as order_day, {season_sql("o_orderdate")} as season,
                cast(strftime(o_orderdate, '%Y%m%d') as integer) as date_sk, nation_sk, region_sk
         from orders left join customer on c_custkey = o_custkey left join n on n_nationkey = c_nationkey and o_orderpriority <> '5-LOW'
         left join r on r_regionkey = n_regionkey""",
+    "lookup_last": """
+        select c_custkey, o_orderkey as last_order, o_orderpriority as last_priority
+        from customer left join (
+            select * from orders where o_orderstatus <> 'P'
+            qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1)
+          on o_custkey = c_custkey""",
     "dim_date": f"""
         select cast(strftime(d, '%Y%m%d') as integer) as date_sk, d as full_date, cast(year(d) as integer) as year,
                cast(month(d) as integer) as month, cast(day(d) as integer) as day,
-               cast(quarter(d) as integer) as quarter, dayname(d) as day_of_week, {_season("d")} as season
+               cast(quarter(d) as integer) as quarter, dayname(d) as day_of_week, {season_sql("d")} as season
         from (select cast(o_orderdate as date) as d from orders union select cast(l_shipdate as date) from lineitem
               union select cast(ts as date) from events) where d is not null""",
     "upsert_last": f"""
@@ -300,7 +304,7 @@ ORACLE_SQL: dict[str, str] = {
         from part""",
     "country_iso": f"""
         select case when c_mktsegment <> 'HOUSEHOLD' then {_ISO_CASE} end as iso, count(*) as n_customers,
-               cast(sum({_cents("c_acctbal")}) as bigint) as balance
+               cast(sum({cents_sql("c_acctbal")}) as bigint) as balance
         from customer group by 1""",
     "pending_snapshots": f"""
         with src as ({_MONTHS} group by 1), settled as ({_MONTHS} where o_orderstatus <> 'P' group by 1),
@@ -312,16 +316,17 @@ ORACLE_SQL: dict[str, str] = {
         where seen is distinct from content_hash""",
     "source_fingerprint": _fingerprint(
         "orders",
-        f"""concat_ws('|', o_orderkey, o_custkey, o_orderstatus, {_cents("o_totalprice")},
+        f"""concat_ws('|', o_orderkey, o_custkey, o_orderstatus, {cents_sql("o_totalprice")},
                       strftime(o_orderdate, '%Y-%m-%d'))""",
     )
     + " union all "
     + _fingerprint("documents", "concat_ws('|', doc_id, translate(coalesce(text, ''), chr(13) || chr(10), '  '))"),
     "ingest_csv": f"""
         select o_custkey as player_id, cast(o_orderdate as date) as date,
-               case when o_orderstatus <> 'P' then {_cents("o_totalprice")} end as market_value_in_eur,
-               case when o_orderpriority <> '4-NOT SPECIFIED' then '"' || o_orderpriority || '", say' end
-                   as current_club_name,
+               case when o_orderstatus <> 'P' then {cents_sql("o_totalprice")} end as market_value_in_eur,
+               case o_orderpriority when '4-NOT SPECIFIED' then null
+                   when '5-LOW' then 'two' || chr(10) || '"lines",' || chr(10) || chr(10) || o_orderpriority
+                   else '"' || o_orderpriority || '", say' end as current_club_name,
                o_orderkey as current_club_id, o_orderstatus as player_club_domestic_competition_id
         from orders""",
     "medallion_run": f"""
@@ -336,10 +341,10 @@ ORACLE_SQL: dict[str, str] = {
             from customer join nation on n_nationkey = c_nationkey left join latest on o_custkey = c_custkey
             where not coalesce(o_orderstatus = 'F' and o_orderpriority = '1-URGENT', false))
         select m.*, name, position_category, current_club_id, current_club_name from (
-            select o_custkey as player_id, {_season("o_orderdate")} as season,
+            select o_custkey as player_id, {season_sql("o_orderdate")} as season,
                    count(distinct o_orderkey) as matches_played,
                    cast(sum(cast(l_quantity as bigint)) as bigint) as total_goals, count(*) as total_assists,
-                   cast(sum({_cents("l_discount")}) as bigint) as total_minutes
+                   cast(sum({cents_sql("l_discount")}) as bigint) as total_minutes
             from orders join lineitem on l_orderkey = o_orderkey group by all) m
         left join current using (player_id)""",
-}
+} | FEED_SQL

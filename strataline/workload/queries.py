@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from strataline.functions.casts import has_fraction, lenient_bigint, lenient_double, lenient_timestamp
 from strataline.functions.countries import with_country_iso
 from strataline.functions.scalars import category_of, iso_day, outcome, season_of, to_day
-from strataline.operators.dedupe import duplicated_rows, keep_last
+from strataline.operators.dedupe import duplicated_rows, keep_first, keep_last
 from strataline.operators.history import interval_history, merge_points
 from strataline.operators.joins import asof_lookup, lookup, new_rows
 from strataline.operators.prepare import conform, project_or_null
@@ -37,7 +37,7 @@ from strataline.schemas import TableSpec
 from strataline.session import scratch_path
 from strataline.settings import AtLeast, NotNull, QualityRules, References, Unique
 from strataline.sources.fingerprint import table_digests
-from strataline.workload.feed import ingest_customers, replay_feed
+from strataline.workload import feed
 from strataline.workload.tables import POINT, cents, load, price_points
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +86,7 @@ def two_sided_results(spark: SparkSession, sf: str) -> DataFrame:
 
     Seventh lines name unknown nations on the supplier's side, which take the first recorded name.
     """
-    customer, supplier = load(spark, sf, "customer"), load(spark, sf, "supplier")
+    customer, supplier, orders = (load(spark, sf, t) for t in ("customer", "supplier", "orders"))
     lines = load(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("game_id"),
         "l_suppkey",
@@ -95,26 +95,42 @@ def two_sided_results(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("score_a"),
         F.round(F.col("l_discount") * 500).cast("bigint").alias("score_b"),
     )
-    games = lookup(lines, load(spark, sf, "orders"), {"game_id": "o_orderkey"}, {"custkey": "o_custkey"})
-    games = lookup(games, customer, {"custkey": "c_custkey"}, {"nation_b": "c_nationkey", "name_b": "c_name"})
-    games = lookup(games, supplier, {"l_suppkey": "s_suppkey"}, {"nation_a": "s_nationkey", "name_a": "s_name"})
-    unknown = F.when(F.col("l_linenumber") == 7, F.col("nation_a") + 100).otherwise(F.col("nation_a"))
-    contests = games.select(
-        "game_id", "season", unknown.alias("nation_a"), "nation_b", "name_a", "name_b", "score_a", "score_b",
+    # Who ordered is settled once per order, before lines are met.
+    buyers = lookup(orders, customer, {"o_custkey": "c_custkey"}, {"nation_b": "c_nationkey", "name_b": "c_name"})
+    unknown = F.when(F.col("l_linenumber") == 7, F.col("nation_s") + 100).otherwise(F.col("nation_s"))
+
+    def placed(rows: DataFrame, buyers: DataFrame) -> DataFrame:
+        games = lookup(rows, buyers, {"game_id": "o_orderkey"}, {"nation_b": "nation_b", "name_b": "name_b"})
+        games = lookup(games, supplier, {"l_suppkey": "s_suppkey"}, {"nation_s": "s_nationkey", "name_a": "s_name"})
+        return games.withColumn("nation_a", unknown)
+
+    contests = placed(lines, buyers).select(
+        "game_id", "season", "nation_a", "nation_b", "score_a", "score_b",
+        F.col("name_a").isNotNull().alias("named_a"), F.col("name_b").isNotNull().alias("named_b"),
         F.col("score_a").alias("against_b"), F.col("score_b").alias("against_a"),
         outcome("score_a", "score_b").alias("result_a"), outcome("score_b", "score_a").alias("result_b"),
     )
     sides = [
         {
-            "nation": f"nation_{x}", "recorded_name": f"name_{x}", "result": f"result_{x}",
+            "nation": f"nation_{x}", "named": f"named_{x}", "result": f"result_{x}",
             "scored": f"score_{x}", "conceded": f"against_{x}",
         }
         for x in ("a", "b")
     ]
-    perspectives = two_sided(contests, sides).dropna(subset=["nation", "season"])
+
+    def recorded(winners: DataFrame) -> DataFrame:
+        games = winners.select("game_id").distinct()
+        few = lines.select("game_id", "l_suppkey", "l_linenumber", "season").join(games, "game_id", "left_semi")
+        of_few = buyers.join(games, buyers["o_orderkey"] == games["game_id"], "left_semi")
+        return two_sided(
+            placed(few, of_few).select("game_id", "season", "nation_a", "nation_b", "name_a", "name_b"),
+            [{"nation": f"nation_{x}", "recorded_name": f"name_{x}"} for x in ("a", "b")],
+        )
+
     return side_performance(
-        perspectives,
+        two_sided(contests, sides).dropna(subset=["nation", "season"]),
         load(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_name").alias("name")),
+        recorded,
         key="nation",
         name="nation_name",
     )
@@ -136,6 +152,28 @@ def rolling_trend(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def performance_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Performance where urgent orders have no customer, low ones no season, and customers are listed twice."""
+    orders, customer = load(spark, sf, "orders"), load(spark, sf, "customer")
+    lines = load(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"))
+    rows = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey",
+        F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")).alias("c_custkey"),
+        F.when(F.col("o_orderpriority") != "5-LOW", season_of(to_day("o_orderdate"))).alias("season"),
+        F.when(F.col("o_orderstatus") != "P", F.col("quantity")).alias("quantity"),
+    )
+    again = customer.withColumn("c_name", F.concat(F.lit("again "), "c_name")).withColumn("c_nationkey", F.col("c_nationkey") - 1)
+    subjects = keep_first(customer.unionByName(again), ["c_custkey"], ["c_nationkey", "c_name"])
+    return performance(
+        rows,
+        subjects,
+        key="c_custkey",
+        game="o_orderkey",
+        measures={"total_quantity": "quantity"},
+        attributes={"name": "c_name", "nation": "c_nationkey"},
+    )
+
+
 # Histories and versioned dimensions ---------------------------------------------------------------
 
 
@@ -156,6 +194,13 @@ def history_union_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     return _history(merge_points(known.select(points.columns), arriving, POINT))
 
 
+def history_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Price history where returned lines name no part; such points are left out."""
+    points = price_points(load(spark, sf, "lineitem"))
+    points = points.withColumn("part", F.when(F.col("flag") != "R", F.col("part")))
+    return _history(merge_points(None, points, POINT))
+
+
 def _latest_orders(orders: DataFrame) -> DataFrame:
     """State of each customer: the attributes of the latest order."""
     latest = keep_last(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
@@ -208,16 +253,27 @@ def asof_price(spark: SparkSession, sf: str) -> DataFrame:
     versions = _history(merge_points(None, points, POINT))
     lines = lineitem.select("l_orderkey", "l_linenumber", "l_partkey", to_day("l_shipdate").alias("ship_day"))
     return asof_lookup(
-        lines, versions, fact_key="l_partkey", fact_date="ship_day", dim_key="part", sk="price_sk", overlaps=False
+        lines, versions, fact_key="l_partkey", fact_date="ship_day", dim_key="part", sk="price_sk"
     )
 
 
 def asof_customer(spark: SparkSession, sf: str) -> DataFrame:
-    """Every order with the customer version valid on its day, from the two-snapshot dimension."""
+    """Every order with the customer version valid on its day, from the two-snapshot dimension.
+
+    Orders of low priority add versions that hold from a month before to a quarter after them, over others.
+    """
     orders = load(spark, sf, "orders").select("o_orderkey", "o_custkey", to_day("o_orderdate").alias("order_day"))
+    validity = ("customer_sk", "effective_date", "end_date", "is_current")
+    added = load(spark, sf, "orders").filter("o_orderpriority = '5-LOW'").select(
+        "o_custkey",
+        (F.col("o_orderkey") + 10**9).alias("customer_sk"),
+        F.date_sub(to_day("o_orderdate"), 30).alias("effective_date"),
+        F.date_add(to_day("o_orderdate"), 90).alias("end_date"),
+        F.lit(False).alias("is_current"),
+    )
     return asof_lookup(
         orders,
-        scd2_merge(spark, sf),
+        scd2_merge(spark, sf).select("o_custkey", *validity).unionByName(added),
         fact_key="o_custkey",
         fact_date="order_day",
         dim_key="o_custkey",
@@ -262,6 +318,19 @@ def fact_lookup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def lookup_last(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with the last of their orders, which a dimension lists many times; some have none."""
+    customer, orders = load(spark, sf, "customer"), load(spark, sf, "orders")
+    found = lookup(
+        customer,
+        orders.withColumn("o_custkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))),
+        {"c_custkey": "o_custkey"},
+        {"last_order": "o_orderkey", "last_priority": "o_orderpriority"},
+        last_by=["o_orderdate", "o_orderkey"],
+    )
+    return found.select("c_custkey", "last_order", "last_priority")
+
+
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
     """Calendar of all order and ship days, added to the calendar of the events."""
     known = build_dim_date([(load(spark, sf, "events"), ["ts"])])
@@ -501,9 +570,11 @@ def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "season_performance": season_performance,
+    "performance_gaps": performance_gaps,
     "two_sided_results": two_sided_results,
     "rolling_trend": rolling_trend,
     "price_history_scd2": price_history_scd2,
+    "history_gaps": history_gaps,
     "history_union_rebuild": history_union_rebuild,
     "scd2_merge": scd2_merge,
     "scd2_inverted": scd2_inverted,
@@ -511,6 +582,7 @@ QUERIES: dict[str, Query] = {
     "asof_customer": asof_customer,
     "scd1_merge": scd1_merge,
     "fact_lookup": fact_lookup,
+    "lookup_last": lookup_last,
     "dim_date": dim_date,
     "upsert_last": upsert_last,
     "merge_stats": merge_stats,
@@ -528,6 +600,16 @@ QUERIES: dict[str, Query] = {
     "country_iso": country_iso,
     "pending_snapshots": pending_snapshots,
     "source_fingerprint": source_fingerprint,
-    "ingest_csv": ingest_customers,
-    "medallion_run": replay_feed,
+    "ingest_csv": feed.ingest_customers,
+    "medallion_run": feed.replay_feed,
+    "medallion_dim_players": feed.dim_players,
+    "medallion_valuations": feed.dim_valuations,
+    "medallion_fact_games": feed.fact_games,
+    "medallion_fact_appearances": feed.fact_appearances,
+    "medallion_club_mart": feed.club_mart,
+    "medallion_trend_mart": feed.trend_mart,
+    "medallion_cumulative": feed.cumulative,
+    "medallion_ledger": feed.ledger,
+    "medallion_metrics": feed.load_metrics,
+    "medallion_quality": feed.quality_report,
 }
