@@ -10,10 +10,10 @@ shingle bounds what they can share, and parities of shingles by hash bits bound
 few candidates to count. A candidate's overlap is counted fragment by fragment: sets are cut at the same
 points of the order, equal fragments of a pair meet, and the partial overlaps are summed per pair.
 
-Copies of one text by the thousand would give pairs by the million. Therefore each shared shingle first pairs those
-of its documents whose sets have the same least hash with one leader only, and the links found are contracted to
-components. A second round does so by the greatest hash. They leave few shingles whose similar documents lie in
-different components; for those every pair across components is counted. Pairs within a component need no count, as they change no component. No link between
+Copies of one text by the thousand would give pairs by the million. Therefore each shared shingle first pairs its
+documents with one leader only, the one with the least rarer shingles before it, and the links found are contracted to
+components. Two more rounds do so among those whose sets have the same least, then the same greatest hash. They leave
+few shingles whose similar documents lie in different components; for those every pair across components is counted. Pairs within a component need no count, as they change no component. No link between
 components is lost, and nothing is capped.
 
 Defined cases: null text and text without words have an empty set, link with nothing and are their own component;
@@ -45,7 +45,7 @@ MAX_FREQUENT = 500_000
 # Bits of the filter that keeps sets without candidates out of the shuffle; a full filter keeps none out.
 FILTER_BITS = 1 << 26
 RARE_FRAGMENTS = 4
-LEADER_ROUNDS = 2
+LEADER_ROUNDS = 3
 # Least number of 64-bit words of a set's parity signature; it doubles until there are two bits for each shingle.
 SIGNATURE_WORDS = 8
 MARK_BITS = 15
@@ -361,10 +361,14 @@ def components(docs: DataFrame, how: Similarity = Similarity(), id_col: str = "d
         open_ = stage(_labelled(shared, joined), "open")
         if open_.isEmpty():
             break
-        # Documents that share a shingle by chance mostly differ in this, so a leader is one of its like.
-        open_ = open_.withColumn("kind", F.shiftright("mark", MARK_BITS * turn).bitwiseAND(F.lit((1 << MARK_BITS) - 1)))
+        # Documents that share a shingle by chance mostly differ in their marks, so later leaders are of their like.
+        mark = F.shiftright("mark", MARK_BITS * max(0, turn - 1)).bitwiseAND(F.lit((1 << MARK_BITS) - 1))
+        open_ = open_.withColumn("kind", mark if turn else F.lit(0))
+        # What lies before the shared shingle is rarer than it, so the document with the least of it has least of its
+        # own: the text that near copies were made from, where it is there.
+        own = F.expr("((n - rest) << 20) div n")
         leaders = open_.groupBy("shingle", "kind").agg(
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "rest", "root")).alias("leader")
+            F.min(F.struct(own.alias("own"), F.xxhash64("node", F.lit(turn)).alias("at"), "node", "n", "rest", "root")).alias("leader")
         )
         pairs = (
             open_.join(leaders, ["shingle", "kind"])
