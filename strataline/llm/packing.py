@@ -34,6 +34,8 @@ END_ID = 0
 # Rests are cut to pieces of at most so many ids.
 CUT = 340
 GROUP_PIECES = 512
+# Sequences of one whole window are numbered from here on, above those of all groups.
+WHOLE = 1 << 62
 # Words whose ids a task remembers.
 CACHE_WORDS = 400_000
 
@@ -82,7 +84,8 @@ def encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[str
     def run(text: str) -> bytes:
         if any(name in text for name in special):
             return np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(text.split()) != text.count(" ") + text.count("\n") + 1:
+        # Equal lists, not counts: a tab or a no-break space within a word would make up for a second space elsewhere.
+        if text.replace("\n", " ").split(" ") != text.split():
             return encode(text)
         return newline.join(b"".join(words(line)) for line in text.split("\n"))
 
@@ -183,28 +186,31 @@ def pack(
     cut: int = CUT,
     group_pieces: int = GROUP_PIECES,
 ) -> DataFrame:
-    """One row per piece: its document, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
-    made = stage(pieces(docs, files, id_col, text_col, capacity, cut), "pieces")
-    groups = max(1, -(-made.filter(F.col("length") < capacity).count() // group_pieces))
-    schema = made.drop("row").schema
-    # Whole windows are sequences by themselves; they are numbered by the same groups, after the shared windows.
+    """One row per piece: its document, start, length, ids_crc32, doc_tokens, sequence_id and offset.
+
+    A whole window is a sequence by itself, numbered by the place of its piece in the written table from
+    ``WHOLE`` on; only the shorter pieces are grouped.
+    """
+    numbered = pieces(docs, files, id_col, text_col, capacity, cut).withColumn("piece", F.monotonically_increasing_id())
+    made = stage(numbered, "pieces")
+    short = made.filter(F.col("length") < capacity)
+    groups = max(1, -(-short.count() // group_pieces))
+    schema = made.drop("row", "piece").schema.add("sequence_id", "long").add("offset", "long")
     group = F.pmod(F.xxhash64(F.col(id_col), "row", "start", "ids_crc32"), F.lit(groups)).cast("long")
 
     def deal(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values([id_col, "row", "start"], ignore_index=True)
         sizes = part["length"].tolist()
-        small = [i for i, s in enumerate(sizes) if s < capacity]
-        shared = [[small[m] for m in w] for w in windows([sizes[i] for i in small], capacity)]
         sequence, offset = np.zeros(len(part), dtype=np.int64), np.zeros(len(part), dtype=np.int64)
-        for k, members in enumerate(shared + [[i] for i, s in enumerate(sizes) if s >= capacity]):
+        for k, members in enumerate(windows(sizes, capacity)):
             at = 0
             for i in members:
                 sequence[i], offset[i] = k, at
                 at += sizes[i]
-        return part.assign(sequence_id=key[0] << 32 | sequence, offset=offset).drop(columns=["row", "group"])
+        return part.assign(sequence_id=key[0] << 32 | sequence, offset=offset).drop(columns=["row", "piece", "group"])
 
-    return (
-        made.withColumn("group", group)
-        .groupBy("group")
-        .applyInPandas(deal, schema.add("sequence_id", "long").add("offset", "long"))
+    dealt = short.withColumn("group", group).groupBy("group").applyInPandas(deal, schema)
+    whole = made.filter(F.col("length") >= capacity).select(
+        *schema.names[:-2], (F.lit(WHOLE) + F.col("piece")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
+    return dealt.unionByName(whole)
