@@ -10,10 +10,13 @@ gives an empty table; columns other than the named two are ignored by ``detect``
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from strataline.llm.common import map_rows
 
@@ -58,8 +61,8 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
-_IBAN_BODY = re.compile(r"(?: ?[A-Z0-9]){1,29}")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}")
+_IBAN_BODY = re.compile(r"(?: ?[A-Za-z0-9]){1,29}")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _LOCAL_PHONE = re.compile(r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 _WORD = re.compile(r"\w+")
@@ -122,7 +125,7 @@ def _confirmed(text: str) -> Iterator[tuple[str, int, int]]:
 
 def _account_end(text: str, start: int) -> int | None:
     """The end of the account number that starts here, where its country and its checksum confirm it."""
-    want = IBAN_LENGTH.get(text[start : start + 2])
+    want = IBAN_LENGTH.get(text[start : start + 2].upper())
     if not want or not (body := _IBAN_BODY.match(text, start + 4)):
         return None
     compact, end = "", start
@@ -131,7 +134,10 @@ def _account_end(text: str, start: int) -> int | None:
             break
         end += 1
         compact += c.strip()
-    return end if len(compact) == want and mod97(compact) else None
+    # Small letters are those of words as well, so a number that has some must be a word by itself.
+    if not compact.isupper() and text[end : end + 1].isalnum():
+        return None
+    return end if len(compact) == want and mod97(compact.upper()) else None
 
 
 def _proposed(text: str) -> Iterator[tuple[str, int, int, bool]]:
@@ -155,7 +161,8 @@ def _score(text: str, kind: str, start: int, end: int, checked: bool) -> float:
     score = PRIOR[kind] + CONFIRMED.get(kind, 0) * checked
     score += CONTEXT_GAIN * any(w in words for w in CONTEXT[kind])
     score -= CONTEXT_GAIN * any(w in words for w in AGAINST)
-    return round(min(1.0, max(0.0, score)), 3)
+    # What a checksum has confirmed stays, whatever the words around it.
+    return round(min(1.0, max(THRESHOLD if checked else 0.0, score)), 3)
 
 
 def spans_of(text: str | None) -> list[Span]:
@@ -167,9 +174,12 @@ def spans_of(text: str | None) -> list[Span]:
     if not text:
         return []
     found = [Span(k, a, b, _score(text, k, a, b, True)) for k, a, b in _confirmed(text)]
-    base = list(found)
+    # The furthest end of the base spans up to each one, in order of their starts.
+    base = sorted((s.start, s.end) for s in found)
+    starts, ends = [a for a, _ in base], list(accumulate((b for _, b in base), max))
     for kind, a, b, checked in _proposed(text):
-        if not checked and any(a < s.end and s.start < b for s in base):
+        before = bisect_left(starts, b)
+        if not checked and before and ends[before - 1] > a:
             continue
         if (score := _score(text, kind, a, b, checked)) >= THRESHOLD:
             found.append(Span(kind, a, b, score))
@@ -194,10 +204,9 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         for doc_id, text in rows:
             yield doc_id, [s._asdict() for s in spans_of(text)]
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return map_rows(
-        docs.select(id_col, text_col), run, f"{id_col} {kind}, spans array<struct<kind:string,start:int,end:int,score:double>>"
-    )
+    spans = ArrayType(StructType.fromDDL("kind string, start int, end int, score double"))
+    schema = StructType([StructField(id_col, docs.schema[id_col].dataType), StructField("spans", spans)])
+    return map_rows(docs.select(id_col, text_col), run, schema)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -211,4 +220,6 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 row = (*row[:at], masked(text, spans), *row[at + 1 :])
             yield row
 
-    return map_rows(docs, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema))
+    # The type itself, as names of columns and of their fields may be anything.
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return map_rows(plain, run, StructType([StructField(f.name, f.dataType) for f in docs.schema]))
