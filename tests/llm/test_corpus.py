@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -220,6 +221,35 @@ def test_account_numbers_of_all_countries():
     assert [s.kind for s in pii.spans_of(chance)] == ["card", "iban"] and pii.masked(chance, pii.spans_of(chance)) == "<IBAN>"
 
 
+def test_a_confirmed_number_stays_whatever_the_words():
+    for text in ("Please pay invoice 77 to DE89370400440532013000", "order serial de89 3704 0044 0532 0130 00, example"):
+        spans = pii.spans_of(text)
+        assert [s.kind for s in spans if s.kind == "iban"] == ["iban"] and "<IBAN>" in pii.masked(text, spans)
+    assert not [s for s in pii.spans_of("the invoice de89370400440532013000x") if s.kind == "iban"]
+
+
+def test_many_spans_in_one_text_cost_their_number():
+    def seconds(n: int) -> float:
+        text = "10.0.0.1 and 123-45-6789 social " * n
+        began = time.perf_counter()
+        kinds = Counter(s.kind for s in pii.spans_of(text))
+        assert kinds["ip"] == kinds["ssn"] == n
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert min(seconds(4000) for _ in range(3)) < 10 * min(seconds(1000) for _ in range(3))
+
+
+def test_redact_keeps_columns_of_any_name_and_type(spark):
+    rows = [(1, "mail a@b.de", ("x", 1), {"k v": [1]}), (2, None, None, None)]
+    schema = "`doc``id` long, text string, `a b` struct<`c d`: string, `e``f`: int>, m map<string, array<int>>"
+    df = spark.createDataFrame(rows, schema)
+    out = pii.redact(df)
+    assert out.schema == df.schema
+    assert {r["doc`id"]: (r["text"], r["a b"]) for r in out.collect()} == {1: ("mail <EMAIL>", ("x", 1)), 2: (None, None)}
+    assert pii.redact(df.limit(0)).count() == 0
+
+
 def test_base_spans_match_plain_python(spark, docs, tmp_path):
     from strataline.llm.queries import op7_pii, op8_secrets
 
@@ -351,6 +381,29 @@ def test_packing(docs, odd):
     assert all(seen[d] == len(ids[d]) * n for d, n in repeats.items())
 
 
+def test_packing_ids_equal_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    files = tokenizer_files()
+    tokenizer, encode = Tokenizer.from_file(files["tokenizer_path"]), packing.encoder(**files)
+    rng = np.random.default_rng(9)
+    parts = ["a", "bc", "x1", "é", "\t", "\xa0", " ", "  ", "\n", "\n\n\n", "\r\n", "\u2003", "'s", "don't", "...", "42", "\x0b", "\u0085"]
+    texts = ["".join(rng.choice(parts, rng.integers(1, 9))) for _ in range(20_000)]
+    texts += ["col1\tcol2\tcol3\n\n\ntext", "x\ty\tz\n\n\nfoo bar", "a\n\n\nb\xa0c\xa0d", ""]
+    for text, want in zip(texts, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(encode(text), dtype="<u4").tolist() == want.ids, text
+
+
+def test_packing_of_few_long_documents(spark):
+    rows = [(i, f"w{i} " * 70_000) for i in range(4)] + [(9, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    packed = packing.pack(docs, tokenizer_files()).select("doc_id", "length", "sequence_id", "offset").collect()
+    whole = [r for r in packed if r["length"] == packing.CAPACITY]
+    assert len(whole) > 200 and len({r["sequence_id"] for r in whole}) == len(whole) and all(r["offset"] == 0 for r in whole)
+    assert not {r["sequence_id"] for r in whole} & {r["sequence_id"] for r in packed if r["length"] < packing.CAPACITY}
+    assert packing.pack(docs.limit(0), tokenizer_files()).count() == 0
+
+
 @pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
 def test_jaccard_components_match_brute_force(spark, docs, words, percent):
     near = " ".join(f"w{i}" for i in range(80))
