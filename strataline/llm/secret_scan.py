@@ -7,10 +7,13 @@ last of which holds all; then chi-squared uniformity over the alphabet, a runs t
 test and, for letters of one case, a test of how common the letters are in prose give p-values under "the symbols
 are random", which Fisher's method combines.
 
-A candidate passes unless its p-value is among the lowest ``miss_rate`` of those that random strings have, whatever
-its length, its encoding and the rest of the corpus: about that share of random strings is lost, and no other. The
-share of words among what passes is not bounded; ``false_shares`` estimates it, with its standard error, for each
-stratum of encoding and length from the histogram of the p-values. Of nested candidates that pass the longest stays.
+Whether a candidate is reported is a matter of false discoveries. Its symbols have a probability if they are random,
+and one if they are words or identifiers (``WORD_*``: how classes of symbols, vowels and consonants follow each other,
+and how common letters are); the battery's p-value is uniform in the first case and low in the second. With the
+prior odds ``WORD_ODDS`` these give the local false-discovery rate, the probability that the candidate is a word, and
+it is reported if that is at most ``rate``. Evidence adds up over the symbols, so the control is as strict for short
+strings as for long ones, and it follows from the candidate alone: no other text of the corpus has a say. Of
+nested candidates that are reported the longest stays. ``false_shares`` sums the rates up.
 
 Defined cases: null text is empty and has no spans; an empty table gives an empty table; repeated rows give repeated
 results.
@@ -32,8 +35,8 @@ from strataline.llm.common import map_rows
 BASE_KINDS = ("assign", "access", "hex")
 KIND = "random"
 MIN_CHARS = 20
-BINS = 100
-MISS_RATE = 0.05
+# The largest local false-discovery rate that is reported.
+RATE = 0.05
 
 _ASSIGN = re.compile(
     r"""(?i:password|passwd|secret|token|api_?key)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]++)""", re.ASCII
@@ -148,6 +151,68 @@ def randomness_p(token: str, encoding: str) -> float:
     return _chi2_tail(-2 * sum(math.log(max(p, 1e-300)) for p in ps), 2 * len(ps))
 
 
+# Parameters of words and identifiers, chosen by hand from the usual ways to write names. Odds against a random string
+# before it is looked at; which class of symbol follows which (small letter, capital, digit, separator); how often a
+# vowel follows a vowel, a consonant, or neither; how the separators share their class; how often names are in capitals.
+WORD_ODDS = 99.0
+WORD_CLASSES = {
+    "": {"l": 0.55, "u": 0.35, "d": 0.08, "s": 0.02},
+    "l": {"l": 0.86, "u": 0.07, "d": 0.02, "s": 0.05},
+    "u": {"l": 0.70, "u": 0.25, "d": 0.02, "s": 0.03},
+    "d": {"l": 0.15, "u": 0.10, "d": 0.60, "s": 0.15},
+    "s": {"l": 0.60, "u": 0.25, "d": 0.13, "s": 0.02},
+}
+WORD_CAPITALS = 0.2
+WORD_VOWELS = {"v": 0.20, "c": 0.52, "": 0.40}
+WORD_SEPARATORS = {"_": 0.60, "-": 0.30, "/": 0.08, "+": 0.02}
+# A word's battery has p-values p with the density a * p ** (a - 1), where a is this over its length, within bounds.
+WORD_EVENNESS, WORD_EVENNESS_BOUNDS = 6.0, (0.05, 0.5)
+
+_VOWELS = frozenset("aeiou")
+_SHARE = {
+    kind: sum(n for c, n in LETTERS.items() if (c in _VOWELS) == (kind == "v")) for kind in "vc"
+}
+_CLASS = {c: k for k, symbols in (("l", _LOWER), ("u", _UPPER), ("d", _DIGITS), ("s", "_-/+")) for c in symbols}
+
+
+def word_evidence(core: str, encoding: str) -> float:
+    """Logarithm of how much likelier the symbols are as words than as random symbols of the encoding.
+
+    Words in capitals are words whose cases have changed places.
+    """
+    as_written = _word_probability(core) + math.log(1 - WORD_CAPITALS)
+    in_capitals = _word_probability(core.swapcase()) + math.log(WORD_CAPITALS)
+    return max(as_written, in_capitals) + len(core) * math.log(len(ALPHABETS[encoding]))
+
+
+def _word_probability(core: str) -> float:
+    total, before, vowel = 0.0, "", ""
+    for c in core:
+        kind = _CLASS[c]
+        total += math.log(WORD_CLASSES[before][kind])
+        if kind in "lu":
+            letter = c.lower()
+            now = "v" if letter in _VOWELS else "c"
+            follows = WORD_VOWELS[vowel]
+            total += math.log((follows if now == "v" else 1 - follows) * LETTERS[letter] / _SHARE[now])
+            vowel = now
+        else:
+            total += math.log(0.1 if kind == "d" else WORD_SEPARATORS[c])
+            vowel = ""
+        before = kind
+    return total
+
+
+def false_discovery_rate(token: str, encoding: str) -> float:
+    """Probability that a token is a word or an identifier, given its symbols and its battery."""
+    core = token.rstrip("=")
+    low, high = WORD_EVENNESS_BOUNDS
+    a = min(high, max(low, WORD_EVENNESS / len(core)))
+    p = max(randomness_p(token, encoding), 1e-300)
+    odds = math.log(WORD_ODDS) + word_evidence(core, encoding) + math.log(a) + (a - 1) * math.log(p)
+    return 1 / (1 + math.exp(-min(700.0, max(-700.0, odds))))
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by start, then kind as listed."""
     found = []
@@ -180,14 +245,14 @@ def pieces(token: str) -> Iterator[tuple[int, int]]:
 
 
 def candidates(text: str) -> Iterator[tuple[int, int, str, float]]:
-    """Start, end, encoding and p-value of each string that the battery judges, a token before its parts."""
+    """Start, end, encoding and false-discovery rate of each string that is judged, a token before its parts."""
     if not any(len(w) >= MIN_CHARS for w in text.split()):
         return
     for m in _CANDIDATE.finditer(text):
         for a, b in pieces(m[0]):
             part = m[0][a:b]
             encoding = encoding_of(part)
-            yield m.start() + a, m.start() + b, encoding, randomness_p(part, encoding)
+            yield m.start() + a, m.start() + b, encoding, false_discovery_rate(part, encoding)
 
 
 def unfixed(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, str, float]]:
@@ -203,9 +268,9 @@ def unfixed(text: str, base: list[tuple[str, int, int]]) -> Iterator[tuple[int,
             yield c
 
 
-def random_spans(text: str, base: list[tuple[str, int, int]], miss_rate: float) -> list[tuple[str, int, int]]:
-    """The candidates that pass, without those that lie in a longer one, by start."""
-    passed = sorted({c[:2] for c in unfixed(text, base) if c[3] >= miss_rate}, key=lambda c: (c[0], -c[1]))
+def random_spans(text: str, base: list[tuple[str, int, int]], rate: float = RATE) -> list[tuple[str, int, int]]:
+    """The candidates that are reported, without those that lie in a longer one, by start."""
+    passed = sorted({c[:2] for c in unfixed(text, base) if c[3] <= rate}, key=lambda c: (c[0], -c[1]))
     out, reached = [], -1
     for a, b in passed:
         if b > reached:
@@ -214,7 +279,7 @@ def random_spans(text: str, base: list[tuple[str, int, int]], miss_rate: float)
     return out
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", miss_rate: float = MISS_RATE) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = RATE) -> DataFrame:
     """One row per row of ``docs``: its id and ``spans`` (kind, start, end), by start, then kind.
 
     Each text is judged by itself, in one pass.
@@ -226,7 +291,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", miss_r
         for doc_id, text in rows:
             text = text or ""
             base = base_spans(text)
-            found = sorted(base + random_spans(text, base, miss_rate), key=lambda s: (s[1], order[s[0]], s[2]))
+            found = sorted(base + random_spans(text, base, rate), key=lambda s: (s[1], order[s[0]], s[2]))
             yield doc_id, [dict(zip(("kind", "start", "end"), s, strict=True)) for s in found]
 
     return map_rows(
@@ -234,39 +299,20 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", miss_r
     )
 
 
-def false_shares(docs: DataFrame, text_col: str = "text", miss_rate: float = MISS_RATE) -> DataFrame:
-    """One row per encoding and power of two of the length: candidates, how many pass, the estimated share of words
-    among these and its standard error. A token and its parts count each.
-
-    Random strings are as many in the lower half of the p-values as in the upper one, where words are rare. The error
-    is that of the count in the upper half; the share of a small stratum is thus only a hint.
+def false_shares(docs: DataFrame, text_col: str = "text", rate: float = RATE) -> DataFrame:
+    """One row per encoding and power of two of the length: candidates, how many are reported, and the share of words
+    that is expected among these, the mean of their rates. A token and its parts count each.
     """
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for (text,) in rows:
             text = text or ""
-            for a, b, encoding, p in unfixed(text, base_spans(text)):
-                yield encoding, (b - a).bit_length(), min(BINS - 1, int(p * BINS)), int(p >= miss_rate)
-
-    counted = (
-        map_rows(docs.select(text_col), run, "encoding string, stratum int, bin int, passed int")
-        .groupBy("encoding", "stratum", "bin")
-        .agg(F.count("*").alias("n"), F.sum("passed").alias("passed"))
-        .groupBy("encoding", "stratum")
-        .agg(
-            F.sum("n").alias("candidates"),
-            F.sum("passed").alias("passed"),
-            F.coalesce(F.sum(F.when(F.col("bin") >= BINS // 2, F.col("n"))), F.lit(0)).alias("upper"),
-        )
-    )
-    random = 2 * (1 - miss_rate) * F.col("upper")
-    share = F.greatest(F.lit(0.0), 1 - random / F.col("passed"))
-    error = 2 * (1 - miss_rate) * F.sqrt(F.greatest(F.lit(1), F.col("upper"))) / F.col("passed")
-    return counted.select(
-        "encoding",
-        "stratum",
-        "candidates",
-        "passed",
-        F.when(F.col("passed") > 0, share).alias("false_share"),
-        F.when(F.col("passed") > 0, F.least(F.lit(1.0), error)).alias("std_error"),
+            for a, b, encoding, found in unfixed(text, base_spans(text)):
+                yield encoding, (b - a).bit_length(), int(found <= rate), found if found <= rate else 0.0
+
+    judged = map_rows(docs.select(text_col), run, "encoding string, stratum int, passed long, rate double")
+    counted = judged.groupBy("encoding", "stratum").agg(
+        F.count("*").alias("candidates"), F.sum("passed").alias("passed"), F.sum("rate").alias("rates")
     )
+    share = F.when(F.col("passed") > 0, F.col("rates") / F.col("passed"))
+    return counted.select("encoding", "stratum", "candidates", "passed", share.alias("false_share"))
