@@ -68,8 +68,20 @@ class Piece(NamedTuple):
     tokens: int
 
 
+# Sizes and token counts beyond this are this.
+MOST = (1 << 31) - 1
+
+
+def _size(value: float | None, unknown: float) -> float:
+    """A part's size; ``unknown`` where it is missing, no finite number, or not above zero."""
+    return min(value, MOST) if value is not None and math.isfinite(value) and value > 0 else unknown
+
+
 class PartVisitor:
-    """Flattens parts. Image tokens follow the number of tiles, audio the seconds, documents the pages."""
+    """Flattens parts. Image tokens follow the number of tiles, audio the seconds, documents the pages.
+
+    A side of unknown size counts as one tile, unknown seconds as none and unknown pages as one.
+    """
 
     def __init__(self, tile: int = 28, audio_rate: float = 12.5, page_tokens: int = 800, default_tokens: int = 1):
         self.tile, self.audio_rate, self.page_tokens, self.default_tokens = tile, audio_rate, page_tokens, default_tokens
@@ -81,20 +93,21 @@ class PartVisitor:
         return Piece(escape(part["text"] or ""), True, "text", "", 0)
 
     def visit_image(self, part: dict) -> Piece:
-        tiles = math.ceil((part["width"] or self.tile) / self.tile) * math.ceil((part["height"] or self.tile) / self.tile)
-        return self.placeholder(part, tiles)
+        across, down = (math.ceil(_size(part[side], self.tile) / self.tile) for side in ("width", "height"))
+        return self.placeholder(part, across * down)
 
     def visit_audio(self, part: dict) -> Piece:
-        return self.placeholder(part, math.ceil((part["amount"] or 0) * self.audio_rate))
+        return self.placeholder(part, math.ceil(_size(part["amount"], 0) * self.audio_rate))
 
     def visit_document(self, part: dict) -> Piece:
-        return self.placeholder(part, math.ceil(part["amount"] or 1) * self.page_tokens)
+        return self.placeholder(part, math.ceil(_size(part["amount"], 1)) * self.page_tokens)
 
     def visit_other(self, part: dict) -> Piece:
         return self.placeholder(part, self.default_tokens)
 
     def placeholder(self, part: dict, tokens: int) -> Piece:
         kind, ref = (re.sub(r"[|%]", lambda m: f"%{ord(m[0]):02X}", part[k] or "") for k in ("type", "ref"))
+        tokens = min(tokens, MOST)
         return Piece(f"<|part:{kind}|{ref}|{tokens}|>", False, kind, ref, tokens)
 
 
