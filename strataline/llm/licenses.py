@@ -190,7 +190,8 @@ _ENDORSE = re.compile(r"(neither the name of) .* (nor the names of)(?: its| thei
 
 
 def normalised(sentence: str) -> str:
-    if _COPYRIGHT.match(sentence) and len(sentence) < 200:
+    # A line of any length; over lines, what follows the holder may be more than their names.
+    if _COPYRIGHT.match(sentence) and (len(sentence) < 200 or "\n" not in sentence.strip()):
         return "copyright"
     words = " ".join(_WORDS.findall(sentence.lower().replace("licence", "license")))
     # The holder is named in the last condition of BSD licences.
@@ -226,7 +227,8 @@ def _cut(text: str, ends: re.Pattern) -> Iterator[tuple[int, int]]:
 def identified(text: str, known: dict[str, str], names: bool = False) -> list[tuple[int, int, int, str]]:
     """Place in the sequence of sentences, start, end and identifier of each known sentence, in text order.
 
-    With ``names``, sentences that name a public licence are known too.
+    With ``names``, sentences that name a public licence are known too. Sentences have any length; a name that goes on
+    in the next lines is looked for in that many characters from its beginning which four known sentences have.
     """
     lead = max(len(k) for k in known) * 4
     found: dict[int, tuple[int, int, str]] = {a: (a, b, name) for a, b, name in tags(text)} if names else {}
@@ -240,12 +242,12 @@ def identified(text: str, known: dict[str, str], names: bool = False) -> list[tu
                 continue
             if ends is _IN_PARAGRAPH:
                 starts.append(a)
-            if b - a > lead or a in found and not found[a][2].startswith(NAME):
+            if a in found and not found[a][2].startswith(NAME):
                 continue
             if ends is _IN_PARAGRAPH:
                 for x in before[bisect_right(before, a) : bisect_left(before, b)]:
                     _, end, old = found[x]
-                    if old.startswith(NAME) and end < b and (name := name_in(text[x:b])) not in (None, old):
+                    if old.startswith(NAME) and end < b and (name := name_in(text[x : min(b, x + lead)])) not in (None, old):
                         found[x] = (x, b, name)
             name = known.get(normalised(text[a:b])) or (name_in(text[a:b]) if names else None)
             # A name that goes on in the next line is read from the paragraph, and not again where a line has it.
