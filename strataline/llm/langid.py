@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataline.llm.common import map_rows, thinned
+from strataline.session import stage
 
 WINDOW = 256
 UNKNOWN = "und"
@@ -33,10 +34,13 @@ PIECE_CHARS = 400
 
 @dataclass(frozen=True)
 class Trainer:
-    """Network shape and training parameters. ``fit_rows`` bounds the rows that reach the driver."""
+    """Network shape and training parameters.
+
+    ``fit_rows`` bounds the rows that reach the driver. Languages have equal parts in them, and each has one row at
+    least: with more languages than ``fit_rows`` there are as many rows as languages.
+    """
 
     fit_rows: int = 6000
-    max_langs: int = 500
     widths: tuple[int, ...] = (2, 3, 4)
     filters: int = 16
     embedding: int = 8
@@ -179,11 +183,11 @@ def train(docs: DataFrame, trainer: Trainer = Trainer(), id_col: str = "doc_id")
     spare = F.greatest(F.length(text) - PIECE_CHARS, F.lit(0)) + 1
     at = F.xxhash64(F.col(id_col), F.length(text))
     known = docs.filter(~held_out(id_col) & F.col("lang").isNotNull() & (F.col("lang") != ""))
-    # The most frequent languages, and how many rows each has, decide what share of its rows is looked at.
-    langs = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(trainer.max_langs)
+    # How many rows a language has decides what share of them is looked at.
+    langs = stage(known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")), "langs")
     pieces = (
         known.withColumn("at", at)
-        .join(F.broadcast(langs), "lang")
+        .join(langs, "lang")
         .filter(thinned(F.col("at"), trainer.fit_rows, F.col("rows")) & text.rlike(r"\p{L}"))
         .select("lang", "at", F.substring(text, (F.pmod("at", spare) + 1).cast("int"), F.lit(PIECE_CHARS)).alias("piece"))
     )
@@ -192,7 +196,7 @@ def train(docs: DataFrame, trainer: Trainer = Trainer(), id_col: str = "doc_id")
         pieces.withColumn("turn", turn)
         .filter(F.col("turn") <= trainer.fit_rows)
         .orderBy("turn", "lang")
-        .limit(trainer.fit_rows)
+        .limit(max(trainer.fit_rows, langs.count()))
         .collect()
     )
     return trainer.fit([r["piece"] for r in rows], [r["lang"] for r in rows])
