@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ MANIFEST_DDL = "buckets int, bucket int, path string, row_count bigint"
 # Two hashes of a row's columns, kept in the files beside them.
 DIGEST = ("_digest_1", "_digest_2")
 BUCKET = "_bucket"
+# So many buckets are counted while they are written, more from what was written.
+OBSERVED = 64
 
 
 @dataclass(frozen=True)
@@ -64,12 +66,16 @@ def _buckets_for(rows: int, bucket_rows: int) -> int:
 
 
 def load_version(spark: SparkSession, path: str) -> Version:
-    manifest = spark.read.parquet(f"{path}/manifest")
-    # One row per bucket, and one without a bucket that keeps the schema of a table with no rows.
-    rows = manifest.select("buckets", "bucket", "path", "row_count").collect()
-    schema = T.StructType.fromJson(json.loads(manifest.filter("bucket is null").first()["schema"]))
+    # One row per bucket, and one without a bucket that keeps the schema, of a table without rows too.
+    rows = spark.read.parquet(f"{path}/manifest").collect()
+    schema = next(r["schema"] for r in rows if r["bucket"] is None)
     held = [r for r in rows if r["bucket"] is not None]
-    return Version(rows[0]["buckets"], schema, {r["bucket"]: r["path"] for r in held}, {r["bucket"]: r["row_count"] for r in held})
+    return Version(
+        rows[0]["buckets"],
+        T.StructType.fromJson(json.loads(schema)),
+        {r["bucket"]: r["path"] for r in held},
+        {r["bucket"]: r["row_count"] for r in held},
+    )
 
 
 def _save_version(spark: SparkSession, path: str, version: Version) -> None:
@@ -93,10 +99,16 @@ def read_buckets(spark: SparkSession, path: str) -> DataFrame:
     return _files(spark, load_version(spark, path)).drop(*DIGEST)
 
 
-def _write(rows: DataFrame, path: str) -> dict[int, int]:
-    """Write rows by ``BUCKET`` under a version's folder; the rows of each bucket written."""
+def _write(rows: DataFrame, path: str, buckets: Sequence[int]) -> dict[int, int]:
+    """Write rows of ``buckets`` by ``BUCKET`` under a version's folder; the number of rows of each that has some."""
     data = f"{path}/data"
+    if len(buckets) <= OBSERVED:
+        seen = Observation()
+        counts = [F.count_if(F.col(BUCKET) == b).alias(str(b)) for b in buckets]
+        rows.observe(seen, *counts).write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+        return {b: n for b in buckets if (n := seen.get[str(b)])}
     rows.write.mode("overwrite").partitionBy(BUCKET).parquet(data)
+    # Only the folders' names and the files' own row counts are read.
     written = rows.sparkSession.read.schema(f"{BUCKET} int").parquet(data)
     return {r[BUCKET]: r["n"] for r in written.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
 
@@ -122,10 +134,13 @@ def upsert_buckets(
     fresh = last_per_key(incoming, keys).drop(*SOURCE_ORDER)
     if previous is None:
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in fresh.schema.fields])
-        rows = stage(fresh, "increment")
-        buckets = _buckets_for(rows.count(), bucket_rows)
-        placed = rows.select("*", *_digests(schema.names), _bucket_of(keys, buckets).alias(BUCKET)).repartition(BUCKET)
-        version = Version(buckets, schema, *_located(path, _write(placed, path)))
+        counted = Observation()
+        rows = stage(fresh.observe(counted, F.count(F.lit(1)).alias("rows")), "increment")
+        buckets = _buckets_for(counted.get["rows"], bucket_rows)
+        placed = rows.select("*", *_digests(schema.names), _bucket_of(keys, buckets).alias(BUCKET))
+        if buckets > 1:
+            placed = placed.repartition(BUCKET)
+        version = Version(buckets, schema, *_located(path, _write(placed, path, range(buckets))))
         _save_version(spark, path, version)
         return version
 
@@ -141,7 +156,9 @@ def upsert_buckets(
         same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_known_{c}")) for c in (*keys, *DIGEST)])
         changed = stage(digested.join(known, same, "left_anti"), "changed")
 
-    count = changed.count()
+    # One row per touched bucket.
+    per_bucket = changed.groupBy(_bucket_of(keys, old.buckets).alias(BUCKET)).agg(F.count(F.lit(1)).alias("n")).collect()
+    count = sum(r["n"] for r in per_bucket)
     buckets = old.buckets
     if old.row_count + count > 2 * buckets * bucket_rows:
         buckets = _buckets_for(old.row_count + count, bucket_rows)
@@ -149,7 +166,7 @@ def upsert_buckets(
     if buckets != old.buckets or added:
         touched, kept_paths, kept_rows = list(old.paths), {}, {}
     else:
-        touched = [r[0] for r in changed.select(place).distinct().collect()]
+        touched = [r[BUCKET] for r in per_bucket]
         kept_paths = {b: p for b, p in old.paths.items() if b not in set(touched)}
         kept_rows = {b: old.rows[b] for b in kept_paths}
     if not count and not added:
@@ -161,7 +178,8 @@ def upsert_buckets(
             merged = stays.unionByName(changed).withColumn(BUCKET, place).repartition(BUCKET)
         else:
             merged = stays.withColumn(BUCKET, place).unionByName(changed.withColumn(BUCKET, place).repartition(BUCKET))
-        paths, rows = _located(path, _write(merged, path))
+        written = range(buckets) if buckets != old.buckets else sorted({*touched, *(r[BUCKET] for r in per_bucket)})
+        paths, rows = _located(path, _write(merged, path, written))
         version = Version(buckets, schema, kept_paths | paths, kept_rows | rows)
     _save_version(spark, path, version)
     return version
