@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from strataline.functions.casts import lenient_double
 from strataline.operators.dedupe import duplicated_keys
 from strataline.operators.joins import orphan_keys
+from strataline.operators.topk import count_and_first
 from strataline.session import control_table
 from strataline.settings import AtLeast, NotNull, QualityRules, References, Unique
 
@@ -72,37 +73,58 @@ def range_checks(df: DataFrame, rules: Sequence[AtLeast], sample_by: Sequence[st
     """Values below a minimum, all rules of a table in one pass. Nulls and non-numbers do not violate.
 
     An absent column violates with every row and fails even on an empty table. Samples name the keys
-    of the first violating rows; the violation is a pushed-down filter there, so a clean table is
-    skipped by its statistics.
+    of the first violating rows.
     """
-    present = [r for r in rules if r.column in df.columns]
-    absent = [r for r in rules if r.column not in df.columns]
-    parts = []
-    if present:
-        one = df.agg(*[F.count_if(lenient_double(r.column) < r.min).alias(f"n{i}") for i, r in enumerate(present)])
-        labelled = [
-            [F.lit(i).alias("rule"), F.lit(r.column).alias("column"), F.lit(float(r.min)).alias("min"), F.col(f"n{i}").alias("n")]
-            for i, r in enumerate(present)
-        ]
-        both = _unpivot(one, labelled).withColumn("sample", F.lit(None).cast(SAMPLE_TYPE))
-        for i, r in enumerate(present):
-            sample = _top(df.filter(_below(df, r)), sample_by, ROW_SAMPLE).select(F.lit(i).alias("rule"), "sample")
-            both = both.unionByName(sample, allowMissingColumns=True)
-        merged = both.groupBy("rule").agg(*[F.max(c).alias(c) for c in ("column", "min", "n", "sample")])
-        details = F.to_json(
-            F.struct("column", "min", F.lit(",".join(sample_by)).alias("sample_of"), "sample")
-        )
-        parts.append(merged.select(*_result("valid_range", present[0].table, F.col("n"), F.col("n") == 0, details)))
-    for r in absent:
-        details = F.to_json(
-            F.struct(F.lit(r.column).alias("column"), F.lit(r.min).alias("min"), F.lit(True).alias("missing_column"))
-        )
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("n")).select(
-                *_result("valid_range", r.table, F.col("n"), F.lit(False), details)
+    return column_checks(df, [], rules, sample_by)
+
+
+def column_checks(
+    df: DataFrame, not_null: Sequence[NotNull], ranges: Sequence[AtLeast], sample_by: Sequence[str]
+) -> DataFrame:
+    """All null and range rules of a table from one scan, with the first rows that break a range.
+
+    The rules are a filter of the scan, so files and row groups without violations are skipped by their statistics.
+    """
+    required = [(r, c) for r in not_null for c in r.columns]
+    absent = F.lit(True)
+    broken = [F.col(c).isNull() if c in df.columns else absent for _, c in required]
+    broken += [_below(df, r) if r.column in df.columns else absent for r in ranges]
+    found = count_and_first(df, broken, sample_by, ROW_SAMPLE)
+    # One row per rule: their counts side by side, and the samples of ranges.
+    n = [F.max(F.when(F.col("rule") == i, F.col("n"))).alias(f"n{i}") for i in range(len(broken))]
+    sample = [F.max(F.when(F.col("rule") == i, _texts("first", sample_by))).alias(f"s{i}") for i in range(len(required), len(broken))]
+    one = found.agg(*n, *sample)
+    results = []
+    for r in not_null:
+        mine = [(c, F.col(f"n{i}")) for i, (rule, c) in enumerate(required) if rule is r]
+        total = reduce(lambda a, b: a + b, [count for _, count in mine])
+        # to_json leaves out nulls, so only offending columns are named.
+        offending = [F.when(count > 0, count).alias(c) for c, count in mine]
+        details = F.to_json(F.struct(F.struct(*offending).alias("columns")))
+        results.append(_result("null_check", r.table, total, total == 0, details))
+    for i, r in enumerate(ranges, len(required)):
+        count = F.col(f"n{i}")
+        if r.column in df.columns:
+            details = F.to_json(
+                F.struct(
+                    F.lit(r.column).alias("column"), F.lit(float(r.min)).alias("min"),
+                    F.lit(",".join(sample_by)).alias("sample_of"), F.col(f"s{i}").alias("sample"),
+                )
+            )
+            results.append(_result("valid_range", r.table, count, count == 0, details))
+        else:
+            details = F.to_json(
+                F.struct(F.lit(r.column).alias("column"), F.lit(r.min).alias("min"), F.lit(True).alias("missing_column"))
             )
-        )
-    return reduce(DataFrame.unionByName, parts)
+            results.append(_result("valid_range", r.table, count, F.lit(False), details))
+    return _unpivot(one, results)
+
+
+def _texts(first: str, columns: Sequence[str]) -> Column:
+    """Key structs as texts: the value of a single column, else JSON by name."""
+    if len(columns) == 1:
+        return F.transform(first, lambda r: r["k0"].cast("string"))
+    return F.transform(first, lambda r: F.to_json(F.struct(*[r[f"k{i}"].alias(c) for i, c in enumerate(columns)])))
 
 
 def _below(df: DataFrame, rule: AtLeast) -> Column:
@@ -158,11 +180,12 @@ def run_checks(
 ) -> DataFrame:
     """All results of a rule set. The drift check needs load metrics and is skipped without them."""
     keys = keys or {}
-    parts = [null_checks(tables[r.table], r) for r in rules.not_null]
+    parts = []
+    for name in dict.fromkeys(r.table for r in (*rules.not_null, *rules.ranges)):
+        nulls, ranges = ([r for r in of if r.table == name] for of in (rules.not_null, rules.ranges))
+        sample_by = list(keys.get(name) or tables[name].columns[:1])
+        parts += [column_checks(tables[name], nulls, ranges, sample_by)] if ranges else [null_checks(tables[name], r) for r in nulls]
     parts += [reference_check(tables[r.child_table], tables[r.parent_table], r) for r in rules.references]
-    for name in dict.fromkeys(r.table for r in rules.ranges):
-        mine = [r for r in rules.ranges if r.table == name]
-        parts.append(range_checks(tables[name], mine, list(keys.get(name) or tables[name].columns[:1])))
     parts += [duplicate_check(tables[r.table], r) for r in rules.unique]
     if rules.schema_drift and metrics is not None:
         parts.append(drift_check(metrics))

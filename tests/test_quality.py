@@ -1,8 +1,13 @@
 from __future__ import annotations
 
 import json
+import random
 
-from strataline.operators.quality import drift_check, roll_up, run_checks
+from pyspark.sql import functions as F
+
+from strataline.operators.quality import column_checks, drift_check, roll_up, run_checks
+from strataline.operators.topk import count_and_first
+from strataline.session import shared_dir
 from strataline.settings import DEFAULT_RULES, AtLeast, NotNull, QualityRules, References, Unique
 
 
@@ -74,3 +79,26 @@ def test_default_rules_and_roll_up(spark, make):
     required = QualityRules(DEFAULT_RULES.not_null, DEFAULT_RULES.references, DEFAULT_RULES.ranges)
     assert run_checks(spark, tables, required, metrics).count() == 4
     assert tuple(roll_up(run_checks(spark, tables, QualityRules())).first()) == (0, 0, 0, 0, True)
+
+
+def test_count_and_first_equals_sorting(spark):
+    """Every rule's count and least keys, with nulls, ties and rules that nothing breaks, over several tasks."""
+    rng = random.Random(4)
+    data = [(rng.choice([None, "b", "a", "ä"]), rng.choice([None, 0.5, float("nan"), -1.0]), rng.choice([True, False, None]), rng.randrange(9)) for _ in range(500)]
+    df = spark.createDataFrame(data, "s string, d double, b boolean, v int").repartition(6)
+    rules = [F.col("v") < 3, F.col("v") == 8, F.lit(False), F.col("d") < 0, F.lit(None).cast("boolean"), F.lit(True)]
+    got = {r["rule"]: (r["n"], [tuple(x) for x in r["first"]]) for r in count_and_first(df, rules, ["s", "d", "b"], 7).collect()}
+    for i, rule in enumerate(rules):
+        rows = df.filter(F.coalesce(rule, F.lit(False)))
+        want = [tuple(r) for r in rows.orderBy("s", "d", "b").limit(7).select("s", "d", "b").collect()]
+        assert got[i][0] == rows.count() and repr(got[i][1]) == repr(want), i
+    empty = count_and_first(df.limit(0), rules, ["s"], 2).collect()
+    assert [(r["n"], r["first"]) for r in sorted(empty, key=lambda r: r["rule"])] == [(0, [])] * len(rules)
+
+
+def test_all_rules_of_a_table_share_one_scan(spark, make):
+    make("id int, a int, b int", (1, None, -1), (2, 5, 5)).write.mode("overwrite").parquet(f"{shared_dir(spark)}/one_scan")
+    df = spark.read.parquet(f"{shared_dir(spark)}/one_scan")
+    checked = column_checks(df, [NotNull("t", ("a", "b"))], [AtLeast("t", "a", 6), AtLeast("t", "b", 0)], ["id"])
+    assert checked._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [(r.check_type, r.violation_count) for r in checked.collect()] == [("null_check", 1), ("valid_range", 1), ("valid_range", 1)]
