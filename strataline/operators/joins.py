@@ -70,7 +70,8 @@ def asof_lookup(
         F.col("is_current").alias("_current"),
     ).filter(F.col("_k").isNotNull())
     probes = facts.select(F.col(fact_key).alias("_k"), F.to_date(fact_date).alias("_day")).distinct()
-    days = probes.agg(day_number(F.min("_day")).alias("first"), day_number(F.max("_day")).alias("last")).first()
+    day = F.to_date(fact_date)
+    days = facts.agg(day_number(F.min(day)).alias("first"), day_number(F.max(day)).alias("last")).first()
     first, last = (0, -1) if days["first"] is None else days
     intervals = disjoint_intervals(versions.filter("_end >= _start"), first, last)
     at = day_number(F.col("_day"))

@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from strataline.operators.dense import running_total
-from strataline.session import stage
+from strataline.operators.dense import placed, running_total
 
 # A key with more rows is cut, if it also holds more than one shuffle partition's share of all rows.
 BLOCK_ROWS = 1 << 16
@@ -63,9 +62,11 @@ class _Layout:
     these, and no task holds more than its share however the rows are spread over keys.
     """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], block_rows: int):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], block_rows: int, ranked: bool = False):
         self.keys, self.order, self.columns = list(keys), list(order), df.columns
-        self.counts = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "keys")
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        # With ``ranked`` the counts are put in order, as numbers need them.
+        self.counts = placed(counts, keys) if ranked else counts
         seen = self.counts.agg(F.sum("_n").alias("all"), F.max("_n").alias("most")).first()
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         rows = max(block_rows, (seen["all"] or 0) // partitions)
@@ -155,13 +156,13 @@ def numbered_window(
     put in a global order.
     """
     _checked(preceding, following, block_rows)
-    layout = _Layout(df, partition_by, order_by, block_rows)
+    layout = _Layout(df, partition_by, order_by, block_rows, ranked=True)
     group = [*partition_by, "_chunk"]
     if layout.cut:
-        counts = layout.rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+        counts = placed(layout.rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), group)
     else:
         counts = layout.counts.withColumn("_chunk", F.lit(0))
-    before = running_total(counts, group, "_n", "_before").select(*group, "_before")
+    before = running_total(counts, "_n", "_before").select(*group, "_before")
     rows = layout.rows.join(_renamed(before, group, "_of_"), _same(group, "_of_")).drop(*[f"_of_{c}" for c in group])
     place = F.row_number().over(Window.partitionBy(*group).orderBy(*order_by))
     numbered = rows.withColumn(id_column, F.col("_before") + place).drop("_before")

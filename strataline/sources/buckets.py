@@ -7,13 +7,15 @@ the touched buckets. Only their files are read, without the rows that are replac
 changes; nothing is dealt out anew, as old rows stay in the tasks that read them, and the changes alone are shuffled.
 The new manifest takes all other buckets from the old one.
 
-Buckets are a power of two. They double when they hold more than twice ``bucket_rows`` on average, which
+A table within ``bucket_rows`` is one bucket, which is rewritten without looking for changes. Buckets are a power of
+two. They double when they hold more than twice ``bucket_rows`` on average, which
 rewrites the table, so each row is rewritten for this a bounded number of times as the table grows.
 """
 
 from __future__ import annotations
 
 import json
+from collections import OrderedDict
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -65,9 +67,25 @@ def _buckets_for(rows: int, bucket_rows: int) -> int:
     return buckets
 
 
+# Manifests that were read or written last. A version never changes.
+_versions: OrderedDict[str, Version] = OrderedDict()
+_KEPT = 256
+
+
+def _remember(path: str, version: Version) -> Version:
+    _versions[path] = version
+    if len(_versions) > _KEPT:
+        _versions.popitem(last=False)
+    return version
+
+
 def load_version(spark: SparkSession, path: str) -> Version:
+    return _versions.get(path) or _remember(path, _manifest(spark, path))
+
+
+def _manifest(spark: SparkSession, path: str) -> Version:
     # One row per bucket, and one without a bucket that keeps the schema, of a table without rows too.
-    rows = spark.read.parquet(f"{path}/manifest").collect()
+    rows = spark.read.schema(f"{MANIFEST_DDL}, schema string").parquet(f"{path}/manifest").collect()
     schema = next(r["schema"] for r in rows if r["bucket"] is None)
     held = [r for r in rows if r["bucket"] is not None]
     return Version(
@@ -83,6 +101,7 @@ def _save_version(spark: SparkSession, path: str, version: Version) -> None:
     table = control_table(spark, [*rows, (version.buckets, None, None, 0)], MANIFEST_DDL)
     schema = F.when(F.col("bucket").isNull(), F.lit(json.dumps(version.schema.jsonValue())))
     table.withColumn("schema", schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+    _remember(path, version)
 
 
 def _files(spark: SparkSession, version: Version, chosen: Sequence[int] | None = None) -> DataFrame:
@@ -145,6 +164,10 @@ def upsert_buckets(
         return version
 
     old = load_version(spark, previous)
+    if old.buckets == 1 and old.row_count <= bucket_rows:
+        version = _merge_small(old, path, fresh, keys)
+        _save_version(spark, path, version)
+        return version
     added = [f for f in fresh.schema.fields if f.name not in old.schema.names]
     schema = T.StructType([*old.schema.fields, *[T.StructField(f.name, f.dataType) for f in added]])
     named = _by_name(fresh, schema)
@@ -185,5 +208,17 @@ def upsert_buckets(
     return version
 
 
+def _merge_small(old: Version, path: str, fresh: DataFrame, keys: Sequence[str]) -> Version:
+    """Merge into a table of a single bucket, which any change rewrites: no need to look for rows that it has."""
+    spark = fresh.sparkSession
+    added = [T.StructField(f.name, f.dataType) for f in fresh.schema.fields if f.name not in old.schema.names]
+    schema = T.StructType([*old.schema.fields, *added])
+    named = _by_name(fresh, schema)
+    before = _by_name(_files(spark, old), schema)
+    stays = before.join(replaced := named.select(*keys), same_key(before, replaced, keys), "left_anti")
+    merged = stays.unionByName(named).select("*", *_digests(schema.names), F.lit(0).alias(BUCKET))
+    return Version(1, schema, *_located(path, _write(merged, path, [0])))
+
+
 def _located(path: str, rows: dict[int, int]) -> tuple[dict[int, str], dict[int, int]]:
     return {b: f"{path}/data/{BUCKET}={b}" for b in rows}, rows

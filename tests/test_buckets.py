@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataline.operators.upsert import upsert
-from strataline.sources.buckets import BUCKET, load_version, read_buckets, upsert_buckets
+from strataline.sources.buckets import BUCKET, _manifest, load_version, read_buckets, upsert_buckets
 from strataline.sources.store import LayerStore
 
 DDL = "k long, l string, v long, t timestamp_ntz"
@@ -33,7 +33,7 @@ def test_versions_equal_plain_upserts(spark, tmp_path, rows, bucket_rows):
         path = f"{tmp_path}/v{step}"
         version = upsert_buckets(previous, path, incoming, ["k", "l"], bucket_rows)
         assert rows(read_buckets(spark, path)) == rows(known) and version.row_count == known.count()
-        assert load_version(spark, path) == version
+        assert load_version(spark, path) == version == _manifest(spark, path)
         previous = path
     # Earlier versions are still what they were.
     assert read_buckets(spark, f"{tmp_path}/v0").count() <= 60
