@@ -121,10 +121,8 @@ def spans_of(text: str, runs: Sequence[tuple[int, int]]) -> list[tuple[int, int]
     return [(places[a][0], places[b - 1][1]) for a, b in runs]
 
 
-def _shards(
-    benchmark: DataFrame, item_col: str, text_cols: Sequence[str], size: int, max_words: int
-) -> list[Broadcast]:
-    """The benchmark's words as broadcasts of about ``max_words`` words at most, none if there are no words."""
+def _parts(benchmark: DataFrame, item_col: str, text_cols: Sequence[str], size: int, max_words: int) -> tuple[DataFrame, int]:
+    """(item, words, shard): the benchmark's distinct chunks, and the number of shards, none if there are no words."""
 
     def run(rows: Iterator[tuple]) -> Iterator[tuple]:
         for item, *texts in rows:
@@ -138,18 +136,15 @@ def _shards(
     picked = benchmark.select(F.col(item_col).cast("string").alias("item"), *[F.col(c).cast("string") for c in text_cols])
     parts = stage(map_rows(picked, run, schema).distinct(), "items")
     total = parts.agg(F.sum("n")).first()[0] or 0
-    if not total:
-        return []
-    spark = benchmark.sparkSession
     # Shards are dealt by hash; half the room is left for those above the average.
-    count = 1 if total <= max_words else -(-2 * total // max_words)
-    shard = F.pmod(F.xxhash64("item", "words"), F.lit(count))
-    return [
-        spark.sparkContext.broadcast(
-            {"parts": [(r["item"], bytes(r["words"])) for r in parts.filter(shard == k).select("item", "words").collect()]}
-        )
-        for k in range(count)
-    ]
+    count = -(-2 * total // max_words) if total > max_words else min(total, 1)
+    return parts.select("item", "words", F.pmod(F.xxhash64("item", "words"), F.lit(max(1, count))).alias("shard")), count
+
+
+def _shard(parts: DataFrame, k: int) -> Broadcast:
+    """One shard's chunks, about ``max_words`` words at most, to all workers. The driver holds one shard at a time."""
+    rows = parts.filter(F.col("shard") == k).select("item", "words").collect()
+    return parts.sparkSession.sparkContext.broadcast({"parts": [(r["item"], bytes(r["words"])) for r in rows]})
 
 
 def _fields(docs: DataFrame, id_col: str) -> list[T.StructField]:
@@ -176,7 +171,7 @@ def _scan_once(docs: DataFrame, shard: Broadcast | None, size: int, id_col: str,
     return map_rows(docs.select(id_col, F.col(text_col).cast("string")), run, T.StructType(_fields(docs, id_col)))
 
 
-def _scan_by_shards(docs: DataFrame, shards: Sequence[Broadcast], size: int, id_col: str, text_col: str) -> DataFrame:
+def _scan_by_shards(docs: DataFrame, parts: DataFrame, count: int, size: int, id_col: str, text_col: str) -> DataFrame:
     """What each shard finds depends on the text alone, so it is kept by the text's digest and merged there."""
     key = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256)
     runs_type = T.ArrayType(T.ArrayType(T.LongType()))
@@ -189,7 +184,9 @@ def _scan_by_shards(docs: DataFrame, shards: Sequence[Broadcast], size: int, id_
         ]
     )
 
-    def scan(k: int, shard: Broadcast) -> DataFrame:
+    def scan(k: int) -> DataFrame:
+        shard = _shard(parts, k)
+
         def run(rows: Iterator[tuple]) -> Iterator[tuple]:
             made = _worker_automaton(shard, size)
             for text_key, text in rows:
@@ -199,11 +196,14 @@ def _scan_by_shards(docs: DataFrame, shards: Sequence[Broadcast], size: int, id_
 
         found = map_rows(docs.select(key.alias("key"), F.col(text_col).cast("string")), run, found_type)
         # Copies of a text find the same; one of them goes on.
-        return stage(found.groupBy("key", "shard").agg(F.first("runs").alias("runs"), F.first("items").alias("items")), "hits")
-
-    each = scan(0, shards[0])
-    for k, shard in enumerate(shards[1:], 1):
-        each = each.unionByName(scan(k, shard))
+        one = found.groupBy("key", "shard").agg(F.first("runs").alias("runs"), F.first("items").alias("items"))
+        written = stage(one, "hits")
+        shard.unpersist()
+        return written
+
+    each = scan(0)
+    for k in range(1, count):
+        each = each.unionByName(scan(k))
     merged = each.groupBy("key").agg(
         F.flatten(F.collect_list("runs")).alias("runs"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")
     )
@@ -238,7 +238,7 @@ def scan(
 
     ``item_texts`` are the benchmark's columns (questions, answers); each is an item's text by itself.
     """
-    shards = _shards(benchmark, item_col, item_texts, size, max_words)
-    if len(shards) < 2:
-        return _scan_once(docs, shards[0] if shards else None, size, id_col, text_col)
-    return _scan_by_shards(docs, shards, size, id_col, text_col)
+    parts, count = _parts(benchmark, item_col, item_texts, size, max_words)
+    if count > 1:
+        return _scan_by_shards(docs, parts, count, size, id_col, text_col)
+    return _scan_once(docs, _shard(parts, 0) if count else None, size, id_col, text_col)
