@@ -563,7 +563,7 @@ def source_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
     documents = load(spark, sf, "documents").select(F.concat_ws("|", "doc_id", text).alias("line"))
     for name, lines in (("orders", orders), ("documents", documents)):
         # Without quotes a line is written as it is.
-        written = lines.repartitionByRange(4, "line").sortWithinPartitions("line").write.option("header", True)
+        written = lines.repartitionByRange("line").sortWithinPartitions("line").write.option("header", True)
         written.options(quote="", sep="\x01", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(f"{root}/{name}.csv")
     return table_digests(spark, {t: f"{root}/{t}.csv" for t in ("orders", "documents", "absent")})
 

@@ -14,6 +14,7 @@ from strataline.operators.joins import asof_lookup, lookup, new_rows, orphan_key
 from strataline.operators.prepare import SchemaError, cast_declared, conform, project_or_null
 from strataline.operators.scd import merge_type1
 from strataline.operators.upsert import after_watermark, merge_statistics, newest_day, upsert
+from strataline.operators.validity import sweep
 from strataline.operators.windows import _Layout, numbered_window, offset_window
 from strataline.plans.gold import rolling_mean, valuation_trend
 from strataline.schemas import GAMES, PLAYERS
@@ -151,6 +152,22 @@ def test_asof_lookup_valid_then_current_then_null(make, rows):
     assert dict(rows(got, "id", "sk")) == {1: 1, 2: 2, 3: 2, 4: 4, 5: 5, 6: None, 7: None, 8: None, 9: 2}
 
 
+def test_sweep_gives_the_winner_of_every_day():
+    rng = random.Random(11)
+    for _ in range(300):
+        items = []
+        for key in range(rng.randint(0, 12)):
+            first = rng.randrange(30)
+            items.append((max(first, 5), rng.randrange(max(first, 5), 45), first, rng.choice([key, None])))
+        found = list(sweep(sorted(items, key=lambda x: x[0])))
+        assert all(a[1] < b[0] for a, b in zip(found, found[1:], strict=False))
+        for day in range(50):
+            open_ = [(rank, key is not None, key or 0) for a, b, rank, key in items if a <= day <= b]
+            want = max(open_, default=None)
+            got = [key for a, b, key in found if a <= day <= b]
+            assert got == ([] if want is None else [want[2] if want[1] else None])
+
+
 def test_asof_lookup_with_overlapping_versions(make, rows):
     rng = random.Random(7)
     day = lambda n: D(2024, 1, 1) + dt.timedelta(days=n)
