@@ -384,7 +384,7 @@ def reported(token: str) -> bool:
     return secret_scan.false_discovery_rate(token, secret_scan.encoding_of(token)) <= secret_scan.RATE
 
 
-@pytest.mark.parametrize(("band", "lost"), zip(BANDS, (0.10, 0.05, 0.02, 0.02), strict=True))
+@pytest.mark.parametrize(("band", "lost"), list(zip(BANDS, (0.10, 0.05, 0.02, 0.02), strict=True)))
 def test_share_of_random_strings_that_is_lost_by_length(band, lost):
     """Share of random strings that is taken for words: 7 % of 20 small letters, less than 1 % from 32 symbols on."""
     rng = np.random.default_rng(8)
