@@ -12,7 +12,8 @@ from strataline.functions.casts import lenient_double
 from strataline.operators.dedupe import duplicated_keys
 from strataline.operators.joins import orphan_keys
 from strataline.operators.topk import count_and_first
-from strataline.session import control_table
+from strataline.plans.concurrent import run_all
+from strataline.session import control_table, stage
 from strataline.settings import AtLeast, NotNull, QualityRules, References, Unique
 
 RESULT_DDL = "check_type string, table string, passed boolean, violation_count bigint, details string"
@@ -135,8 +136,12 @@ def _below(df: DataFrame, rule: AtLeast) -> Column:
 
 
 def reference_check(child: DataFrame, parent: DataFrame, rule: References) -> DataFrame:
-    """Distinct child keys without a parent, with the first of them."""
-    orphans = orphan_keys(child, rule.child_column, parent, rule.parent_column)
+    """Distinct child keys without a parent, with the first of them.
+
+    The keys are found in a job of their own, over as many tasks as their size asks for, and written once to be counted
+    and ordered; among the other checks of a report they would share a few tasks.
+    """
+    orphans = stage(orphan_keys(child, rule.child_column, parent, rule.parent_column), "orphans")
     both = _with_sample(orphans.agg(F.count(F.lit(1)).alias("n")), _top(orphans, ["key"], ORPHAN_SAMPLE))
     details = F.to_json(
         F.struct(
@@ -150,8 +155,8 @@ def reference_check(child: DataFrame, parent: DataFrame, rule: References) -> Da
 
 
 def duplicate_check(df: DataFrame, rule: Unique) -> DataFrame:
-    """Rows that share a key with another row (all of them), with the first duplicated keys."""
-    dup = duplicated_keys(df, list(rule.columns))
+    """Rows that share a key with another row (all of them), with the first duplicated keys, found as orphans are."""
+    dup = stage(duplicated_keys(df, list(rule.columns)), "duplicates")
     counted = dup.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
     both = _with_sample(counted, _top(dup, list(rule.columns), ROW_SAMPLE))
     details = F.to_json(
@@ -185,8 +190,8 @@ def run_checks(
         nulls, ranges = ([r for r in of if r.table == name] for of in (rules.not_null, rules.ranges))
         sample_by = list(keys.get(name) or tables[name].columns[:1])
         parts += [column_checks(tables[name], nulls, ranges, sample_by)] if ranges else [null_checks(tables[name], r) for r in nulls]
-    parts += [reference_check(tables[r.child_table], tables[r.parent_table], r) for r in rules.references]
-    parts += [duplicate_check(tables[r.table], r) for r in rules.unique]
+    jobs = [lambda r=r: reference_check(tables[r.child_table], tables[r.parent_table], r) for r in rules.references]
+    parts += run_all(jobs + [lambda r=r: duplicate_check(tables[r.table], r) for r in rules.unique])
     if rules.schema_drift and metrics is not None:
         parts.append(drift_check(metrics))
     if not parts:

@@ -102,3 +102,17 @@ def test_all_rules_of_a_table_share_one_scan(spark, make):
     checked = column_checks(df, [NotNull("t", ("a", "b"))], [AtLeast("t", "a", 6), AtLeast("t", "b", 0)], ["id"])
     assert checked._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
     assert [(r.check_type, r.violation_count) for r in checked.collect()] == [("null_check", 1), ("valid_range", 1), ("valid_range", 1)]
+
+
+def test_repeated_and_orphaned_keys_are_found_once_in_jobs_of_their_own(spark, tmp_path, rows):
+    from strataline.operators.quality import duplicate_check, reference_check
+    from strataline.settings import References, Unique
+
+    spark.sql("select * from values (1L), (1L), (2L), (3L), (null), (null) as t(k)").write.parquet(f"{tmp_path}/t")
+    table, parents = spark.read.parquet(f"{tmp_path}/t"), spark.sql("select 2L as p")
+    repeated = duplicate_check(table, Unique("t", ("k",)))
+    orphaned = reference_check(table, parents, References("t", "k", "p", "p"))
+    # What is counted and what is ordered are the keys that were written, not the table again.
+    assert not [f for df in (repeated, orphaned) for f in df.inputFiles() if f"{tmp_path}" in f]
+    assert rows(repeated, "violation_count", "passed") == [(4, False)]
+    assert rows(orphaned, "violation_count", "passed") == [(2, False)]
