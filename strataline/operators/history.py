@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strataline.functions.scalars import open_end
 from strataline.operators.upsert import upsert
 from strataline.operators.windows import BLOCK_ROWS, numbered_window
+from strataline.session import stage
 
 
 def interval_history(
@@ -26,9 +27,11 @@ def interval_history(
     Adds ``sk`` (1..n in (key, date, ties) order), ``effective_date``, ``end_date`` and ``is_current``.
     Two points on one date both survive; the first then ends before it starts. Points without a key
     are dropped.
+
+    The points are written once, as they are counted before they are numbered and what leads to them may be long.
     """
     following = numbered_window(
-        points.filter(F.col(key).isNotNull()), [key], [date, *ties], sk,
+        stage(points.filter(F.col(key).isNotNull()), "points"), [key], [date, *ties], sk,
         lambda w, _: {"_next": F.lead(date).over(w)}, following=1, block_rows=block_rows,
     )
     return following.select(
@@ -40,6 +43,8 @@ def interval_history(
     )
 
 
-def merge_points(existing: DataFrame | None, incoming: DataFrame, identity: Sequence[str]) -> DataFrame:
+def merge_points(
+    existing: DataFrame | None, incoming: DataFrame, identity: Sequence[str], unique: bool = False
+) -> DataFrame:
     """Union of known and incoming points, one row per identity, the incoming one if both have it."""
-    return upsert(existing, incoming, identity)
+    return upsert(existing, incoming, identity, unique)

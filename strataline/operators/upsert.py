@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.functions.scalars import iso_day
-from strataline.operators.dedupe import keep_last
+from strataline.operators.dedupe import duplicated_keys, keep_last
 from strataline.operators.joins import new_rows
 from strataline.schemas import SOURCE_ORDER
+from strataline.session import stage
 
 
 def source_order(df: DataFrame, fallback: Sequence[str]) -> list[str]:
@@ -25,14 +27,26 @@ def last_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return keep_last(df, keys, source_order(df, rest or keys))
 
 
-def upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``last_per_key`` of a table whose keys are rarely repeated: only the rows of repeated keys are put in order.
+
+    Which these are is found from the keys alone, so nothing else is shuffled where no key is repeated.
+    """
+    repeated = stage(duplicated_keys(df, keys).select(*[F.col(k).alias(f"_twice_{k}") for k in keys]), "repeated")
+    if repeated.isEmpty():
+        return df
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_twice_{k}")) for k in keys])
+    return df.join(repeated, same, "left_anti").unionByName(last_per_key(df.join(repeated, same, "left_semi"), keys))
+
+
+def upsert(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Existing and incoming rows, one per key, incoming winning and its last row winning within it.
 
     ``existing`` is itself the result of an upsert and therefore unique, so it is only filtered by
     the incoming keys (an anti join that the optimizer broadcasts when the increment is small); just
-    the increment is sorted and deduplicated. Columns are matched by name.
+    the increment is sorted and deduplicated, unless the caller vouches that it is ``unique``. Columns are matched by name.
     """
-    fresh = last_per_key(incoming, keys)
+    fresh = incoming if unique else last_per_key(incoming, keys)
     if existing is None:
         return fresh
     kept = new_rows(incoming.select(*keys), existing, keys)

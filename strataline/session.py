@@ -16,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What written tables are compressed by: about a third smaller than by Spark's default.
+CODEC = "zstd"
+
 # Local sessions without a configured folder get one per process.
 _local_dir: str | None = None
 
@@ -71,6 +74,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete folders that nothing refers to."""
+    _remove(paths, spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def _remove(paths: Sequence[str], conf=None) -> None:
     jvm = SparkContext._jvm
     conf = conf or jvm.org.apache.hadoop.conf.Configuration()
@@ -109,7 +117,7 @@ def stage(df: DataFrame, label: str = "stage", spark: SparkSession | None = None
     """
     spark = spark or df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", CODEC).parquet(path)
     paths = _staged.get()
     if paths is not None:
         paths.append(path)

@@ -283,3 +283,25 @@ def test_conform_requires_columns(make):
 def test_project_or_null(make):
     got = project_or_null(make("a int, b int", (1, 2)), {"b": "int", "z": "string", "a": "int"})
     assert got.columns == ["b", "z", "a"] and tuple(got.first()) == (2, None, 1)
+
+
+def test_only_rows_of_repeated_keys_are_put_in_order(make, rows):
+    from strataline.operators.upsert import last_per_key, one_per_key
+
+    ddl = "k long, l string, v long, _src_file string, _src_block long, _src_row long"
+    once = make(ddl, (1, "a", 5, "f", 0, 0), (None, "a", 6, "f", 0, 1), (1, None, 7, "f", 0, 2))
+    assert one_per_key(once, ["k", "l"]) is once
+    twice = once.unionByName(make(ddl, (None, "a", 1, "f", 0, 3), (1, None, 2, "e", 9, 9), (2, "b", 3, "g", 0, 0)))
+    got = one_per_key(twice, ["k", "l"])
+    assert rows(got) == rows(last_per_key(twice, ["k", "l"])) and got.count() == 4
+
+
+def test_a_history_reads_what_leads_to_its_points_once(spark, tmp_path, rows):
+    import datetime as dt
+
+    from strataline.operators.history import interval_history
+
+    spark.sql("select * from values (1L, date'2024-01-01', 5L), (1L, date'2024-02-01', 6L) as t(k, day, v)").write.parquet(f"{tmp_path}/t")
+    history = interval_history(spark.read.parquet(f"{tmp_path}/t"), key="k", date="day", ties=["v"], sk="sk")
+    assert not [f for f in history.inputFiles() if f"{tmp_path}" in f]
+    assert rows(history, "sk", "v", "end_date") == [(1, 5, dt.date(2024, 1, 31)), (2, 6, dt.date(9999, 12, 31))]
