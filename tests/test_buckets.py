@@ -98,3 +98,35 @@ def test_store_reads_both_kinds_of_tables(spark, tmp_path, make, rows):
     assert metrics.row_count == 2 and rows(store.read("cumulative", "t", "r2")) == [(1, 1), (2, 3)]
     store.upsert(make("k int, v int", (4, 4)), "cumulative", "t", "r3", "r2", ["k"])
     assert rows(store.read_present("cumulative", ["t", "absent"], "r3")["t"]) == [(1, 1), (2, 3), (4, 4)]
+
+
+def shuffles(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_rows_are_written_by_bucket_without_a_shuffle_or_a_sort(spark, tmp_path, rows, monkeypatch):
+    from strataline.sources import buckets
+
+    plans, save = [], buckets._save
+    monkeypatch.setattr(buckets, "_save", lambda df, path: (plans.append(df), save(df, path)))
+    table = spark.range(3000).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    one, two = f"{tmp_path}/1", f"{tmp_path}/2"
+    upsert_buckets(None, one, table.filter("k < 2000"), ["k"], 500, unique=True, at_most=2000)
+    # A full extract: every known key is replaced, so its rows are all there is to write.
+    upsert_buckets(one, two, table.withColumn("v", F.col("v") + 1), ["k"], 500, unique=True, at_most=3000)
+    assert len(plans) == 2 and not any(map(shuffles, plans))
+    assert rows(read_buckets(spark, two)) == rows(table.withColumn("v", F.col("v") + 1))
+    assert rows(read_buckets(spark, one)) == rows(table.filter("k < 2000"))
+    assert spark.conf.get(buckets._WRITERS, "0") == "0"
+
+
+def test_buckets_with_rows_that_are_left_keep_them(spark, tmp_path, rows):
+    table = spark.range(400).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    one, two = f"{tmp_path}/1", f"{tmp_path}/2"
+    first = upsert_buckets(None, one, table, ["k"], 50)
+    some = table.filter("v % 7 = 0").withColumn("v", F.when(F.col("v") % 14 == 0, -F.col("v") - 1).otherwise(F.col("v")))
+    second = upsert_buckets(one, two, some.union(some), ["k"], 50)
+    assert rows(read_buckets(spark, two)) == rows(upsert(table, some, ["k"])) and second.rows == first.rows
+    # Rows that the table has already, and no others, change nothing.
+    third = upsert_buckets(two, f"{tmp_path}/3", some.filter("v >= 0"), ["k"], 50)
+    assert third.paths == second.paths and files_of(f"{tmp_path}/3") == set()
