@@ -130,3 +130,25 @@ def test_buckets_with_rows_that_are_left_keep_them(spark, tmp_path, rows):
     # Rows that the table has already, and no others, change nothing.
     third = upsert_buckets(two, f"{tmp_path}/3", some.filter("v >= 0"), ["k"], 50)
     assert third.paths == second.paths and files_of(f"{tmp_path}/3") == set()
+
+
+def test_new_keys_are_counted_by_the_merge(spark, tmp_path, monkeypatch):
+    from strataline.sources import buckets
+
+    ddl = "k long, day date"
+    days = spark.range(400).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.expr("date'2024-01-01' + int(id div 10)").alias("day"))
+    known, table = days.filter("coalesce(k, 0) < 300"), days.localCheckpoint()
+    store, files = LayerStore(spark, str(tmp_path), bucket_rows=50), buckets._files
+    args = {"unique": True, "at_most": 400, "date": "day"}
+    assert store.upsert(known, "cumulative", "t", "1", None, ["k"], **args).new_keys == 300
+    # History as it was, and later days: no keys are joined.
+    joined: list = []
+    monkeypatch.setattr(buckets, "_folder_bucket", lambda: joined.append(1) or F.lit(0).alias(BUCKET))
+    assert store.upsert(table, "cumulative", "t", "2", "1", ["k"], **args).new_keys == 100
+    monkeypatch.undo()
+    # Some rows are left out, one key moved to another day, one is new on an earlier day.
+    changed = table.filter("coalesce(k, 0) % 7 = 0").unionByName(spark.createDataFrame([(1000, None), (5, None)], ddl))
+    third = store.upsert(changed, "cumulative", "t", "3", "2", ["k"], **args)
+    assert (third.new_keys, third.row_count) == (1, 401)
+    assert store.upsert(changed, "cumulative", "t", "4", "3", ["k"], **args).new_keys == 0
+    assert buckets._files is files

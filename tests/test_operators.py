@@ -305,3 +305,32 @@ def test_a_history_reads_what_leads_to_its_points_once(spark, tmp_path, rows):
     history = interval_history(spark.read.parquet(f"{tmp_path}/t"), key="k", date="day", ties=["v"], sk="sk")
     assert not [f for f in history.inputFiles() if f"{tmp_path}" in f]
     assert rows(history, "sk", "v", "end_date") == [(1, 5, dt.date(2024, 1, 31)), (2, 6, dt.date(9999, 12, 31))]
+
+
+def test_asof_lookup_shuffles_facts_once(make, spark, monkeypatch):
+    monkeypatch.setattr("strataline.operators.joins.disjoint_intervals", lambda v, *_: v.select(
+        "_k", F.lit(0).alias("_chunk"), F.col("_start").alias("_from"), F.col("_end").alias("_to"), "_sk"))
+    facts = make("k int, day date, wide string", (1, D(2024, 1, 1), "x"), (1, None, "y"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = asof_lookup(facts, make(DIM, (1, 7, D(2024, 1, 1), OPEN, True)), fact_key="k", fact_date="day", dim_key="key", sk="sk")
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # Above the scan of the wide column there is one exchange, that of the join.
+    above = plan[: plan.index("wide#", plan.index("Exchange"))]
+    assert above.count("SortMergeJoin") == 1 and above.count("Exchange hashpartitioning") == 1
+    assert [r.sk for r in got.collect()] == [7, 7]
+
+
+def test_lists_all_says_whether_history_is_repeated(make):
+    from strataline.operators.upsert import lists_all
+
+    ddl = "k long, day date"
+    known = make(ddl, (1, D(2024, 1, 1)), (None, D(2024, 1, 2)), (3, None))
+    later = make(ddl, (4, D(2024, 1, 3)))
+    assert lists_all(known, known.unionByName(later), ["k"], "day")
+    assert not lists_all(known, known.filter("k = 1").unionByName(later), ["k"], "day")
+    assert not lists_all(known, known.unionByName(make(ddl, (4, D(2024, 1, 2)))), ["k"], "day")
+    assert lists_all(known.limit(0), later, ["k"], "day") and lists_all(make(ddl, (3, None)), make(ddl, (3, None), (4, D(2024, 1, 3))), ["k"], "day")
+    assert not lists_all(make(ddl, (3, None)), make(ddl, (4, None)), ["k"], "day")

@@ -6,6 +6,7 @@ import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from strataline.operators.quality import QualityError
 from strataline.plans.gold import club_performance, player_performance, valuation_trend
@@ -213,3 +214,51 @@ def test_older_snapshot_is_refused_whoever_calls(spark, feed, tmp_path):
     store.publish("week2", "r2", "whatever", "2024-09-01", {})
     with pytest.raises(OutOfOrderError):
         run_snapshot(store, "week1", feed["week1"], Settings(), content_hash="changed")
+
+
+def test_game_date_is_the_games_own(make, rows):
+    from strataline.plans.silver import other_game_days, with_game_date
+
+    games = make("game_id long, date date, date_sk int", (1, D(2024, 1, 1), 101), (2, D(2024, 1, 2), 102), (3, None, None))
+    ddl = "appearance_id long, game_id long, date date, date_sk int"
+    facts = make(
+        ddl, (1, 1, D(2024, 1, 1), 101), (2, 1, D(2024, 1, 5), 105), (3, 2, None, None), (4, 3, D(2024, 1, 1), 101),
+        (5, 9, D(2024, 1, 1), 101), (6, None, D(2024, 1, 1), 101), (7, 1, D(2024, 1, 5), 105), (8, None, None, None),
+    )
+    other = other_game_days(facts, games)
+    assert other.count() == 6
+    want = [(1, 101), (2, 101), (3, 102), (4, None), (5, None), (6, None), (7, 101), (8, None)]
+    assert rows(with_game_date(facts, other), "appearance_id", "game_date_sk") == want
+
+
+def test_names_are_read_back_for_few_games_without_a_shuffle(spark, make, tmp_path):
+    games = spark.range(2000).select(
+        F.col("id").alias("game_id"), F.lit(2023).alias("season_derived"), F.lit(1).alias("home_club_id"), F.lit(9).alias("away_club_id"),
+        F.lit("W").alias("home_result"), F.lit("L").alias("away_result"), F.lit(1).alias("home_club_goals"), F.lit(0).alias("away_club_goals"),
+        F.lit("North").alias("home_club_name"), F.concat(F.lit("Guests "), F.col("id") % 7).alias("away_club_name"),
+    )
+    games.write.parquet(f"{tmp_path}/games")
+    mart = club_performance(spark.read.parquet(f"{tmp_path}/games"), make("club_id int, name string", (1, "North")))
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    assert {(r.club_id, r.club_name, r.matches_played) for r in mart.collect()} == {(1, "North", 2000), (9, "Guests 0", 2000)}
+
+
+def test_repeated_days_and_valuations_of_a_day(make, rows):
+    from strataline.plans.silver import build_dim_player_valuations, repeated_days
+
+    ddl = (
+        "player_id long, date timestamp_ntz, market_value_in_eur long, current_club_name string, current_club_id long, "
+        "player_club_domestic_competition_id string, _src_file string, _src_block long, _src_row long"
+    )
+    at = dt.datetime
+    one = [(1, at(2024, 1, 1), 5, "a", 1, None, "f", 0, 0), (1, at(2024, 2, 1), 6, "a", 1, None, "f", 0, 1)]
+    twice = [*one, (1, at(2024, 2, 1, 9), 6, "b", 1, None, "f", 0, 2)]
+    assert not repeated_days(make(ddl, *one)) and repeated_days(make(ddl, *twice))
+    first = build_dim_player_valuations(make(ddl, *one), unique=True)
+    assert rows(first, "valuation_sk", "market_value_in_eur") == [(1, 5), (2, 6)]
+    # The later row of the same identity stays; a point that the feed dropped is kept.
+    second = build_dim_player_valuations(make(ddl, *twice[1:]), first)
+    assert rows(second, "valuation_sk", "current_club_name") == [(1, "a"), (2, "b")]
+    third = build_dim_player_valuations(make(ddl, one[1]), first, unique=True)
+    assert rows(third, "valuation_sk", "market_value_in_eur") == [(1, 5), (2, 6)]
