@@ -152,3 +152,23 @@ def test_new_keys_are_counted_by_the_merge(spark, tmp_path, monkeypatch):
     assert (third.new_keys, third.row_count) == (1, 401)
     assert store.upsert(changed, "cumulative", "t", "4", "3", ["k"], **args).new_keys == 0
     assert buckets._files is files
+
+
+def test_neighbouring_keys_are_placed_together_and_merged(spark, tmp_path, rows, monkeypatch):
+    from strataline.sources import buckets
+
+    monkeypatch.setattr(buckets, "GRAIN", 4)
+    size, one, two = 1024 << 4, f"{tmp_path}/1", f"{tmp_path}/2"
+    table = spark.range(-100, 70000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"), F.col("id").alias("v"))
+    first = upsert_buckets(None, one, table, ["k"], size)
+    assert (first.grain, first.buckets) == (4, 8) and _manifest(spark, one) == first and min(first.rows.values()) > 5000
+    of = F.regexp_extract("_metadata.file_path", f"{BUCKET}=([0-9]+)", 1)
+    blocks = spark.read.parquet(*first.paths.values()).select(F.floor(F.col("k") / 16).alias("block"), of.alias("b"))
+    assert blocks.distinct().groupBy("block").count().filter("count > 1").isEmpty()
+    some = table.filter("v % 1000 = 0 or v = 7").withColumn("v", -F.col("v")).union(spark.sql("select 90000L, 1L"))
+    second = upsert_buckets(one, two, some, ["k"], size)
+    assert (second.grain, second.new_keys) == (4, 1) and rows(read_buckets(spark, two)) == rows(upsert(table, some, ["k"]))
+    # Earlier versions keep the places they had.
+    monkeypatch.setattr(buckets, "GRAIN", 20)
+    assert upsert_buckets(None, f"{tmp_path}/3", table.limit(9), ["k"], size).grain == 0
+    assert upsert_buckets(two, f"{tmp_path}/4", some, ["k"], size).grain == 4
