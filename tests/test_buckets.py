@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import random
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +174,30 @@ def test_neighbouring_keys_are_placed_together_and_merged(spark, tmp_path, rows,
     monkeypatch.setattr(buckets, "GRAIN", 20)
     assert upsert_buckets(None, f"{tmp_path}/3", table.limit(9), ["k"], size).grain == 0
     assert upsert_buckets(two, f"{tmp_path}/4", some, ["k"], size).grain == 4
+
+
+def test_columns_in_runs_have_no_dictionary_and_take_less_room(spark, tmp_path):
+    """A game's rows lie together; the numbers of a dictionary would hide that their values repeat."""
+    rows = spark.range(60_000, numPartitions=1).select(
+        F.col("id").alias("appearance_id"),
+        F.floor(F.xxhash64(F.floor(F.col("id") / 3)) % 20_000).alias("player_id"),
+        (F.col("id") % 7).alias("goals"),
+    )
+    rows.write.option("compression", "zstd").parquet(f"{tmp_path}/before")
+    version = upsert_buckets(None, f"{tmp_path}/v1", rows, ["appearance_id"], unique=True, at_most=60_000)
+    metrics = LayerStore(spark, f"{tmp_path}/store").write(rows, "silver", "t", "r")
+    assert version.row_count == metrics.row_count == 60_000
+    folders = [next(iter(version.paths.values())), f"{tmp_path}/store/silver/t/run=r"]
+
+    def chunks(folder: str) -> dict:
+        (file,) = Path(folder).glob("*.parquet")
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        return {group.column(i).path_in_schema: group.column(i) for i in range(group.num_columns)}
+
+    before = chunks(f"{tmp_path}/before")
+    for folder in folders:
+        now = chunks(folder)
+        assert not now["player_id"].has_dictionary_page and now["goals"].has_dictionary_page
+        assert now["player_id"].total_compressed_size < 0.8 * before["player_id"].total_compressed_size
+        same = spark.read.parquet(folder).select(rows.columns)
+        assert same.exceptAll(rows).isEmpty() and rows.exceptAll(same).isEmpty()
