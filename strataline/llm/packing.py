@@ -23,10 +23,14 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from strataline.llm.common import map_rows, text_or_empty
+from strataline.llm.common import text_or_empty
 from strataline.session import stage
 
 CAPACITY = 1024
@@ -36,18 +40,23 @@ CUT = 340
 GROUP_PIECES = 512
 # Sequences of one whole window are numbered from here on, above those of all groups.
 WHOLE = 1 << 62
-# Words whose ids a task remembers.
-CACHE_WORDS = 400_000
+# Bytes of texts whose words are encoded together.
+SLICE_BYTES = 16_000_000
+# Texts that are more than words between single spaces and newlines: empty, with white space at an end, twice in a row or of another kind.
+OTHER_SPACE = (
+    r"\A\z|\A[ \n]|[ \n]\z|[ \n][ \n]|[\t\x0B-\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
 
 _SUM = operator.itemgetter(0)
 
 
-def encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[str], bytes]:
-    """Text to ids, as little-endian unsigned 32-bit integers.
+def batch_encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[pa.Array], list[np.ndarray]]:
+    """Texts to their ids, as little-endian unsigned 32-bit integers.
 
-    The vocabulary splits text before a space, so in text whose white space is single spaces and newlines the
-    ids of a line are those of its words; they are remembered by word. Any other text goes to the library whole,
-    and text with a special token's name goes to the tokenizer file itself.
+    The vocabulary splits text before a space and around a newline, so in texts whose white space is single spaces and
+    newlines the ids of a line are those of its words. The distinct words of all such texts go to the library in one
+    call, each after a newline, whose id no word contains, and the ids of the texts are put together from theirs. Any
+    other text goes to the library whole, and text with a special token's name goes to the tokenizer file itself.
     """
     import tiktoken
     from tokenizers import Tokenizer
@@ -58,40 +67,52 @@ def encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[str
     full = Tokenizer.from_file(tokenizer_path)
     special = [t.content for t in full.get_added_tokens_decoder().values()]
 
-    def encode(text: str) -> bytes:
-        return np.array(plain.encode_ordinary(text), dtype="<u4").tobytes()
-
-    # Ids of a word at the start of a line, and after a space.
-    first_ids: dict[str, bytes] = {}
-    later_ids: dict[str, bytes] = {}
-    newline = encode("\n")
-
-    def ids_of(word: str, known: dict[str, bytes], before: str) -> bytes:
-        ids = known.get(word)
-        if ids is None:
-            ids = encode(before + word)
-            if len(known) < CACHE_WORDS:
-                known[word] = ids
-        return ids
-
-    def words(line: str) -> list[bytes]:
-        first, *rest = line.split(" ")
-        later = list(map(later_ids.get, rest))
-        if None in later:
-            later = [ids_of(w, later_ids, " ") if ids is None else ids for w, ids in zip(rest, later, strict=True)]
-        return [ids_of(first, first_ids, ""), *later]
-
-    def run(text: str) -> bytes:
+    def library(text: str) -> np.ndarray:
         if any(name in text for name in special):
-            return np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        # Equal lists, not counts: a tab or a no-break space within a word would make up for a second space elsewhere.
-        if text.replace("\n", " ").split(" ") != text.split():
-            return encode(text)
-        return newline.join(b"".join(words(line)) for line in text.split("\n"))
+            return np.array(full.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(plain.encode_ordinary(text), dtype="<u4")
+
+    (newline,) = library("\n")
+    line, after, nothing = (pa.scalar(s, pa.large_string()) for s in ("\n", "\n ", ""))
+
+    def by_words(texts: pa.Array) -> Iterator[np.ndarray]:
+        # A word at the start of a line keeps the newline before it, every other word is one after a space.
+        lines = pc.binary_join_element_wise(line, pc.replace_substring(texts, "\n", " \n"), nothing)
+        split = pc.split_pattern(lines, " ")
+        words = split.flatten().dictionary_encode()
+        first = pc.starts_with(words.dictionary, "\n")
+        forms = pc.if_else(first, words.dictionary, pc.binary_join_element_wise(after, words.dictionary, nothing))
+        ids = library(pc.binary_join(pa.LargeListArray.from_arrays([0, len(forms)], forms), nothing)[0].as_py())
+        begin = np.flatnonzero(ids == newline)
+        end = np.append(begin[1:], len(ids))
+        begin = np.where(first.to_numpy(zero_copy_only=False), begin, begin + 1)
+        at = words.indices.to_numpy()
+        sizes = (end - begin)[at]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        made = ids[np.repeat(begin[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            # Without the newline put before the text.
+            yield made[a + 1 : b]
+
+    def run(texts: pa.Array) -> list[np.ndarray]:
+        texts = texts.cast(pa.large_string())
+        whole = pc.match_substring_regex(texts, OTHER_SPACE)
+        for name in special:
+            whole = pc.or_(whole, pc.match_substring(texts, name))
+        spaced = texts.filter(pc.invert(whole))
+        found = by_words(spaced) if len(spaced) else iter(())
+        return [library(t.as_py()) if w else next(found) for t, w in zip(texts, whole.to_pylist(), strict=True)]
 
     return run
 
 
+def encoder(ranks_path: str, tokenizer_path: str, pattern: str) -> Callable[[str], bytes]:
+    """One text to its ids."""
+    encode = batch_encoder(ranks_path, tokenizer_path, pattern)
+    return lambda text: encode(pa.array([text]))[0].tobytes()
+
+
 def cuts(n: int, capacity: int = CAPACITY, cut: int = CUT) -> Iterator[tuple[int, int]]:
     """Start and length of a document's pieces: whole windows, then the rest in equal parts of at most ``cut``."""
     whole = n // capacity * capacity
@@ -159,22 +180,35 @@ def pieces(
 ) -> DataFrame:
     """Pieces of every document, with ``row``: the number of the document within its task, which tells repeats apart."""
 
-    def run(rows: Iterator[tuple]) -> Iterator[tuple]:
-        encode = encoder(**files)
-        end = np.array([END_ID], dtype="<u4").tobytes()
-        for row, (doc_id, text) in enumerate(rows):
-            ids = memoryview(encode(text) + end)
-            n = len(ids) // 4
-            for start, length in cuts(n, capacity, cut):
-                yield doc_id, row, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)]), n
-
     kind = docs.schema[id_col].dataType.simpleString()
-    return map_rows(
-        docs.select(id_col, text_or_empty(text_col)),
-        run,
-        f"{id_col} {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long",
-        batch_rows=20_000,
-    )
+    schema = f"{id_col} {kind}, row long, start long, length long, ids_crc32 long, doc_tokens long"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = batch_encoder(**files)
+        row = 0
+        for batch in batches:
+            for part in _slices(batch):
+                out = []
+                for doc_id, ids in zip(part.column(0).to_pylist(), encode(part.column(1)), strict=True):
+                    ids = np.append(ids, np.uint32(END_ID))
+                    for start, length in cuts(len(ids), capacity, cut):
+                        out.append((doc_id, row, start, length, zlib.crc32(ids[start : start + length]), len(ids)))
+                    row += 1
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return docs.select(id_col, text_or_empty(text_col)).mapInArrow(run, schema)
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch cut where its texts pass multiples of ``SLICE_BYTES``."""
+    sizes = pc.binary_length(batch.column(1)).to_numpy()
+    number = (np.cumsum(sizes, dtype=np.int64) - sizes) // SLICE_BYTES
+    cut_at = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cut_at[:-1], cut_at[1:], strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def pack(

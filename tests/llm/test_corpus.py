@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -465,6 +466,32 @@ def test_packing_ids_equal_the_tokenizer():
         assert np.frombuffer(encode(text), dtype="<u4").tolist() == want.ids, text
 
 
+def test_packing_encodes_the_words_of_many_texts_in_one_call(monkeypatch):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    files, calls, whole = tokenizer_files(), [], tiktoken.Encoding.encode_ordinary
+    encode, tokenizer = packing.batch_encoder(**files), Tokenizer.from_file(files["tokenizer_path"])
+    rng = np.random.default_rng(10)
+    parts = ["a", "bc", "x1", "é", "'s", "don't", "...", "42", "\U0001f600", "\0"]
+    texts = [f"{i}x" + "".join(rng.choice([*parts, " w", "\nv"], 9)) for i in range(2000)]
+    texts += ["", " a", "a ", "b\n", "a  b", "a\tb", "a\n\nb", "a \nb", "a <|endoftext|> b", "\u2003c"]
+    monkeypatch.setattr(tiktoken.Encoding, "encode_ordinary", lambda self, text: calls.append(text) or whole(self, text))
+    got = encode(pa.array(texts))
+    # Once for all words, and for the texts with other white space.
+    assert len(calls) == 10
+    for text, ids, want in zip(texts, got, tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert ids.tolist() == want.ids, text
+
+
+def test_packing_slices_hold_every_row_once(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_BYTES", 10)
+    for texts in ([], [""], ["", "a" * 35, "", "bb", "é" * 4, "c" * 9, ""], ["a" * 10] * 3):
+        parts = list(packing._slices(pa.record_batch({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})))
+        assert [t for p in parts for t in p.column(1).to_pylist()] == texts and all(p.num_rows for p in parts)
+        assert all(sum(len(t.encode()) for t in p.column(1).to_pylist()[:-1]) < 10 for p in parts)
+
+
 def test_packing_of_few_long_documents(spark):
     rows = [(i, f"w{i} " * 70_000) for i in range(4)] + [(9, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
