@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor
 from strataline.plans import concurrent, silver, snapshots
 from strataline.plans.concurrent import WIDTH, run_all
 from strataline.plans.snapshots import run_incremental
-from strataline.session import free_unused
+from strataline.session import _give_back, free_unused
 from strataline.sources.store import LayerStore
 
 
@@ -68,3 +68,8 @@ def test_finished_shuffles_are_let_go(spark):
         free_unused(spark)
         time.sleep(0.5)
     assert not made & shuffles()
+
+
+def test_native_memory_is_given_back(spark):
+    # Any JVM from 17.0.9 on with glibc can.
+    assert _give_back(spark)
